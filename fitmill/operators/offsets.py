@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 256
+BLOCK = 32
 BASES = "_bases"
 
 

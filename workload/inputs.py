@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fitmill.functions import regex as rx
+from fitmill.operators import offsets
+from fitmill.sources.corpus import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -104,7 +108,6 @@ JOB_ENDS = [
     "\n",
     "\nRequirement: node.js, .NET Core in asp.net core shops\nplus\nmit license\n",
 ]
-LETTERS = ["PROFILE", "JOB"]
 FILE_ENDS = [".PDF", ".docx", ".doc", ".txt", ".text", ".csv", "", ".", ".tar.TXT"]
 
 
@@ -118,7 +121,8 @@ def pick_sql(index: str, options: list[str]) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"), "lang", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"), "lang", "text")
+    return spread(docs)
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,3 +184,45 @@ def hits_sql(texts: str, key: str, name: str) -> str:
       CAST(length(regexp_extract(low, '(?s)^(.*?)' || rx, 1)) AS INTEGER) AS "start"
     FROM {name}_low, {name}_rx WHERE regexp_matches(low, rx)),
   {name} AS MATERIALIZED (SELECT {key}, term, category, "start", CAST("start" + length(term) AS INTEGER) AS "end" FROM {name}_raw)"""
+
+
+# Spans as a tagger would give them: capitalised phrases, labelled by position.
+SPAN_PHRASE = r"[•-]?[A-Z][A-Za-z.]*(?: (?:of |and )?[A-Z][A-Za-z.]*)*"
+SPAN_LABELS = ["ORG", "GPE", "DATE", "PERSON"]
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = profiles(spark, sf_dir).select("doc_id", rx.cut_at_matches(F.col("text"), SPAN_PHRASE).alias("pieces"))
+    cut = offsets.with_bases(cut.filter(F.col("pieces").isNotNull()), "pieces")
+    found = cut.select("*", F.posexplode_outer("pieces").alias("pos", "text")).filter("pos % 2 = 1")
+    start = offsets.offset_of("pieces", F.col("pos"))
+    return found.select("doc_id", "text", start.alias("start")).select(
+        "doc_id", pick(F.col("start") + F.col("doc_id"), SPAN_LABELS).alias("label"), "text", "start",
+        (F.col("start") + F.char_length("text")).alias("end"))
+
+
+def cuts_sql(texts: str, name: str, tables: dict[str, list[str]], key: str = "doc_id", as_ascii: bool = True,
+             flags: str = "(?i)") -> str:
+    """Every match of every pattern with its offset: ``key, label, rank, raw, start``.
+
+    Offsets come from a running sum over the pieces between and in the matches.
+    """
+    rows = _values([(label, rank, flags + p) for label, ps in tables.items() for rank, p in enumerate(ps)])
+    text = ascii_sql("text") if as_ascii else "text"
+    return rf"""{name}_rx(label, rank, rx) AS (SELECT * FROM (VALUES {rows}) t(a, b, c)),
+  {name}_txt AS MATERIALIZED (SELECT {key}, text, {text} AS t FROM {texts}),
+  {name}_cut AS (SELECT {key}, label, rank, string_split(regexp_replace(t, rx, chr(1) || '\0' || chr(1), 'g'), chr(1)) AS ps
+    FROM {name}_txt, {name}_rx WHERE regexp_matches(t, rx)),
+  {name}_pcs AS (SELECT {key}, label, rank, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM {name}_cut),
+  {name}_off AS (SELECT {key}, label, rank, p, i, CAST(sum(length(p)) OVER (PARTITION BY {key}, label, rank ORDER BY i) - length(p) AS INTEGER) AS "start"
+    FROM {name}_pcs),
+  {name} AS MATERIALIZED (SELECT o.{key}, label, CAST(rank AS INTEGER) AS rank, substring(text, "start" + 1, length(p)) AS raw, "start",
+      CAST("start" + length(p) AS INTEGER) AS "end"
+    FROM {name}_off o JOIN {name}_txt t ON o.{key} = t.{key} WHERE i % 2 = 0)"""
+
+
+SQL_SPANS = (
+    cuts_sql("profiles", "phrases", {"x": [SPAN_PHRASE]}, as_ascii=False, flags="")
+    + ", spans AS MATERIALIZED (SELECT doc_id, "
+    + pick_sql('"start" + doc_id', SPAN_LABELS) + ' AS label, raw AS text, "start", "end" FROM phrases)'
+)
