@@ -14,42 +14,36 @@ from fitmill.operators import offsets
 from fitmill.rules import patterns as pt
 from fitmill.rules.wordlists import INSTITUTION_SPAN_CONFIDENCE, PATTERN_CONFIDENCE
 
-_CUTS = "array<struct<label:string,rank:int,pieces:array<string>>>"
-ENTITY_COLUMNS = ["label", "text", "start", "end", "confidence"]
-
-
-def any_of(text: Column, regexes: list[str]) -> Column:
-    """Whether any pattern matches: one pass that spares most texts all single passes."""
-    edge = r"\b"
-    if all(p.startswith(edge) for p in regexes):
-        joined = edge + "(?:" + "|".join(p[len(edge):] for p in regexes) + ")"
-    else:
-        joined = "|".join(regexes)
-    return rx.matches(text, joined, "i")
-
 
 def raw_matches(texts: DataFrame, tables: dict[str, list[str]], key: str = "doc_id",
                 text: str = "text", lead: bool = False) -> DataFrame:
-    """Every match of every pattern: ``key, label, rank, raw, start``."""
-    col = F.col(text)
+    """Every match of every pattern: ``key, label, rank, raw, start``.
+
+    Case is folded once and the patterns run case-sensitively on the folded text, and only
+    where a substring search found one of their cues: most patterns are ruled out for most
+    texts at a fraction of the cost of a regex pass.
+    """
+    folded = F.col("_folded")
     cuts = [
-        F.when(any_of(col, regexes), F.array(*[
-            F.struct(F.lit(label).alias("label"), F.lit(rank).alias("rank"),
-                     rx.cut_at_matches(col, p, "i", lead).alias("pieces"))
-            for rank, p in enumerate(regexes)
-        ])).otherwise(F.array().cast(_CUTS))
-        for label, regexes in tables.items()
+        F.when(rx.may_match(folded, p), F.struct(
+            F.lit(label).alias("label"), F.lit(rank).alias("rank"),
+            rx.cut_at_matches(folded, p.lower(), lead).alias("pieces")))
+        for label, regexes in tables.items() for rank, p in enumerate(regexes)
     ]
     cut = (
-        texts.filter(col.isNotNull())
-        .select(key, F.explode(F.filter(F.concat(*cuts), lambda c: c["pieces"].isNotNull())).alias("cut"))
-        .select(key, "cut.label", "cut.rank", "cut.pieces")
+        texts.select(key, F.col(text).alias("_text"), rx.fold(F.col(text)).alias("_folded"))
+        .select(key, "_text", F.explode(F.array(*cuts)).alias("cut"))
+        .filter(F.size("cut.pieces") > 1)
+        .select(key, "_text", "cut.label", "cut.rank", "cut.pieces")
     )
     return (
         offsets.with_bases(cut, "pieces")
-        .select("*", F.posexplode_outer("pieces").alias("pos", "raw"))
+        .select("*", F.posexplode_outer("pieces").alias("pos", "piece"))
         .filter("pos % 2 = 1")
-        .select(key, "label", "rank", "raw", offsets.offset_of("pieces", F.col("pos")).alias("start"))
+        .select(key, "label", "rank", "_text", F.char_length("piece").alias("length"),
+                offsets.offset_of("pieces", F.col("pos")).alias("start"))
+        .select(key, "label", "rank", "start",
+                F.substring("_text", F.col("start") + 1, F.col("length")).alias("raw"))
     )
 
 
@@ -101,11 +95,15 @@ def institutions(texts: DataFrame, spans: DataFrame, key: str = "doc_id", text:
 
 
 def _distinct_strings(text: Column, regexes: list[str], stripped: bool) -> Column:
+    folded = rx.fold(text)
+    none = F.array().cast("array<string>")
     found = F.flatten(F.array(*[
-        F.regexp_extract_all(text, F.lit(rx.expand(p, "i")), F.lit(1)) for p in regexes]))
+        F.when(rx.may_match(folded, p), F.regexp_extract_all(text, F.lit(rx.expand(p, "i")), F.lit(1)))
+        .otherwise(none)
+        for p in regexes]))
     if stripped:
         found = F.filter(F.transform(found, rx.strip), lambda s: s != "")
-    return F.when(any_of(text, regexes), F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(found)
 
 
 def education_strings(text: Column) -> Column:
