@@ -7,6 +7,7 @@ Java's own ``\\b`` and ``\\s`` are partly ASCII and have changed between version
 
 from __future__ import annotations
 
+import re
 from re import _constants as kind
 from re import _parser as regex_parser
 
@@ -26,14 +27,21 @@ MARK = ""
 _OUTSIDE = {"w": f"[{WORD}]", "W": f"[^{WORD}]", "s": f"[{SPACE}]", "S": f"[^{SPACE}]",
             "d": DIGIT, "b": EDGE}
 _INSIDE = {"w": WORD, "s": SPACE, "d": DIGIT}
+_IN_CLASS = {
+    (kind.CATEGORY, kind.CATEGORY_WORD): (WORD, True),
+    (kind.CATEGORY, kind.CATEGORY_DIGIT): (DIGIT, True),
+    (kind.CATEGORY, kind.CATEGORY_SPACE): (SPACE, False),
+}
 
 
 def expand(pattern: str, flags: str = "") -> str:
     """Expand the short classes of ``pattern``; ``flags`` such as ``"i"`` go in front."""
     out, in_class, i = [], False, 0
-    if pattern.startswith(r"\b") and _opens_with_word(regex_parser.parse(pattern[2:])):
-        # Same meaning, and one look at the character in front instead of three checks.
-        out, i = [WORD_START], 2
+    opening = _opening(regex_parser.parse(pattern[2:])) if pattern.startswith(r"\b") else None
+    if opening:
+        # Same meaning as a boundary, but most positions fail at the first look.
+        chars, starts_word = opening
+        out, i = [f"(?=[{chars}])", WORD_START if starts_word else EDGE], 2
     while i < len(pattern):
         ch = pattern[i]
         if ch == "\\":
@@ -52,20 +60,30 @@ def expand(pattern: str, flags: str = "") -> str:
     return head + "".join(out)
 
 
-def _opens_with_word(items) -> bool:
-    """Whether every match begins with a word character."""
-    op, arg = items[0]
-    if op is kind.LITERAL:
-        return chr(arg).isalnum()
-    if op is kind.IN:
-        return arg in ([(kind.CATEGORY, kind.CATEGORY_DIGIT)], [(kind.CATEGORY, kind.CATEGORY_WORD)])
-    if op is kind.SUBPATTERN:
-        return _opens_with_word(arg[-1])
-    if op is kind.BRANCH:
-        return all(len(branch) and _opens_with_word(branch) for branch in arg[1])
-    if op is kind.MAX_REPEAT:
-        return arg[0] > 0 and _opens_with_word(arg[2])
-    return False
+def _opening(items) -> tuple[str, bool] | None:
+    """Class of the characters a match can begin with, and whether all are word characters."""
+    chars, all_word = "", True
+    for op, arg in items:
+        optional = op is kind.MAX_REPEAT and arg[0] == 0
+        if op is kind.LITERAL:
+            found = [(re.escape(chr(arg)), chr(arg).isalnum())]
+        elif op is kind.IN:
+            found = [_IN_CLASS.get(member) for member in arg]
+        elif op is kind.SUBPATTERN:
+            found = [_opening(arg[-1])]
+        elif op is kind.BRANCH:
+            found = [_opening(branch) for branch in arg[1]]
+        elif op is kind.MAX_REPEAT:
+            found = [_opening(arg[2])]
+        else:
+            found = [None]
+        if None in found:
+            return None
+        chars += "".join(c for c, _ in found)
+        all_word = all_word and all(w for _, w in found)
+        if not optional:
+            return chars, all_word
+    return None
 
 
 def cues(items) -> set[str]:
@@ -89,11 +107,11 @@ def cues(items) -> set[str]:
 
 
 def fold(text: Column) -> Column:
-    """Lower case with unchanged length, so offsets hold.
+    """Lower case with unchanged length, so offsets hold, and without marks.
 
-    These three letters count as i and s when case is ignored; the first would grow.
+    The three letters count as i and s when case is ignored; the first would grow.
     """
-    return F.lower(F.translate(text, "\u0130\u0131\u017F", "iis"))
+    return F.lower(F.translate(text, "\u0130\u0131\u017F" + MARK, "iis "))
 
 
 def may_match(folded: Column, pattern: str) -> Column:
@@ -144,10 +162,10 @@ def before_first(text: Column, pattern: str, flags: str = "") -> Column:
 def cut_at_matches(text: Column, pattern: str, lead: bool = False) -> Column:
     """Cut the text at every match: even pieces lie between matches, odd ones are matches.
 
-    No character is lost, so piece lengths give offsets (see ``operators.offsets``). With
+    No character is lost, so piece lengths give offsets (see ``operators.offsets``). The
+    text must hold no mark; ``fold`` sees to that. With
     ``lead`` the pattern's first group is text in front of the match proper, which is its
     second group.
     """
     whole = f"$1{MARK}$2{MARK}" if lead else f"{MARK}$0{MARK}"
-    return F.split(
-        F.regexp_replace(F.translate(text, MARK, " "), F.lit(expand(pattern)), F.lit(whole)), MARK)
+    return F.split(F.regexp_replace(text, F.lit(expand(pattern)), F.lit(whole)), MARK)

@@ -192,7 +192,7 @@ SPAN_LABELS = ["ORG", "GPE", "DATE", "PERSON"]
 
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = profiles(spark, sf_dir).select("doc_id", rx.cut_at_matches(F.col("text"), SPAN_PHRASE).alias("pieces"))
+    cut = profiles(spark, sf_dir).select("doc_id", rx.cut_at_matches(F.translate("text", rx.MARK, " "), SPAN_PHRASE).alias("pieces"))
     cut = offsets.with_bases(cut, "pieces")
     found = cut.select("*", F.posexplode_outer("pieces").alias("pos", "text")).filter("pos % 2 = 1")
     start = offsets.offset_of("pieces", F.col("pos"))
