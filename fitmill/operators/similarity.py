@@ -37,7 +37,7 @@ def gram_counts(texts: DataFrame, stop_words: list[str], key: str = "doc_id", te
         tokens = F.filter(tokens, lambda t: ~t.isin(stop_words))
     left = F.size("tokens") - F.col("pos")
     return (
-        texts.select(key, text).repartition(key)
+        texts.filter(F.col(key).isNotNull()).select(key, text).repartition(key)
         .select(key, tokens.alias("tokens"))
         .select(key, "tokens", F.posexplode_outer("tokens").alias("pos", "token"))
         .filter(F.col("pos").isNotNull())

@@ -26,7 +26,8 @@ def occurrences(texts: DataFrame, taxonomy: DataFrame, key: str = "doc_id", text
     """Every occurrence: ``key, term, category, start``. Narrow up to the small-side joins."""
     terms = compiled(taxonomy)
     openings = terms.groupBy("first_run").agg(F.array_sort(F.collect_set("n_runs")).alias("lengths"))
-    cut = texts.select(key, F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(0)).alias("runs"))
+    cut = texts.filter(F.col(key).isNotNull()).select(
+        key, F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(0)).alias("runs"))
     cut = offsets.with_bases(cut, "runs")
     # outer: an inner explode would repeat the tokenisation in an inferred size filter
     tokens = cut.select("*", F.posexplode_outer("runs").alias("pos", "first_run"))
