@@ -13,6 +13,7 @@ from fitmill.functions import regex as rx
 from fitmill.operators import offsets
 from fitmill.rules import patterns as pt
 from fitmill.rules.wordlists import INSTITUTION_SPAN_CONFIDENCE, PATTERN_CONFIDENCE
+from fitmill.session import stack
 
 
 def raw_matches(texts: DataFrame, tables: dict[str, list[str]], key: str = "doc_id",
@@ -91,7 +92,7 @@ def institutions(texts: DataFrame, spans: DataFrame, key: str = "doc_id", text:
     by_span = spans.filter((F.col("label") == "ORG") & named).select(
         key, F.lit("INSTITUTION").alias("label"), F.lit(1).alias("rank"), "text", "start", "end",
         F.lit(INSTITUTION_SPAN_CONFIDENCE).alias("confidence"))
-    return first_spellings(by_pattern.unionByName(by_span), key)
+    return first_spellings(stack(by_pattern, by_span), key)
 
 
 def _distinct_strings(text: Column, regexes: list[str], stripped: bool) -> Column:

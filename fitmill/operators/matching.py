@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fitmill.operators import terms as tm
 from fitmill.rules import wordlists as wl
+from fitmill.session import stack
 
 GRID_BLOCKS = 32
 
@@ -78,10 +79,10 @@ def score_pairs(overlaps: DataFrame, tfidf: DataFrame, embeddings: DataFrame | N
                    for c in ("f1", "tfidf", "embedding")]
         return df.select("doc_id", "job_id", *columns)
 
-    rows = side(overlaps, "f1").unionByName(side(tfidf, "tfidf"))
+    rows = [side(overlaps, "f1"), side(tfidf, "tfidf")]
     if embeddings is not None:
-        rows = rows.unionByName(side(embeddings, "embedding"))
-    merged = rows.groupBy("doc_id", "job_id").agg(
+        rows.append(side(embeddings, "embedding"))
+    merged = stack(*rows).groupBy("doc_id", "job_id").agg(
         F.coalesce(F.max("f1"), F.lit(0.0)).alias("f1"),
         F.coalesce(F.max("tfidf"), F.lit(0.0)).alias("tfidf"),
         F.max("embedding").alias("embedding"))
@@ -106,7 +107,7 @@ def full_grid(scores: DataFrame, docs: DataFrame, jobs: DataFrame, value: str =
     ids = jobs.select("job_id", F.pmod(F.hash("job_id"), F.lit(GRID_BLOCKS)).alias("_block"))
     grid = blocks.join(ids, "_block").select("doc_id", "job_id", F.lit(0.0).alias(value))
     return (
-        grid.unionByName(scores.select("doc_id", "job_id", value))
+        stack(grid, scores.select("doc_id", "job_id", value))
         .groupBy("doc_id", "job_id").agg(F.max(value).alias(value))
     )
 

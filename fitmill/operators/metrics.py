@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fitmill.session import stack
+
 
 def set_prf(predicted: DataFrame, truth: DataFrame, cases: DataFrame, keys: list[str], case_sensitive: bool = False,
             zero_division: float = 0.0, empty_truth: float = 1.0) -> DataFrame:
@@ -21,7 +23,7 @@ def set_prf(predicted: DataFrame, truth: DataFrame, cases: DataFrame, keys: list
         return df.select(*keys, text.alias("text"), *flags)
 
     either = (
-        side(predicted, "_p").unionByName(side(truth, "_t"))
+        stack(side(predicted, "_p"), side(truth, "_t"))
         .groupBy(*keys, "text").agg(F.max("_p").alias("_p"), F.max("_t").alias("_t"))
     )
     counts = either.groupBy(*keys).agg(
@@ -51,7 +53,7 @@ def macro(scores: DataFrame, label: str = "label") -> DataFrame:
     none = F.lit(None).cast("double")
     overall = per_label.agg(F.avg("f1").alias("f1")).select(
         F.lit("OVERALL").alias(label), none.alias("precision"), none.alias("recall"), "f1")
-    return per_label.unionByName(overall)
+    return stack(per_label, overall)
 
 
 def mean_scores(scores: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from fitmill.operators import entities as en
 from fitmill.operators import spans as sp
 from fitmill.operators import terms as tm
 from fitmill.rules import wordlists as wl
+from fitmill.session import stack
 
 COLUMNS = ["label", "rank", "text", "start", "end", "confidence", "category"]
 
@@ -26,10 +27,8 @@ def extract_all(texts: DataFrame, taxonomy: DataFrame, spans: DataFrame, key: st
         sp.locations(spans, taxonomy, key),
         sp.dates(spans, taxonomy, key),
     ]
-    out = skills
-    for part in parts:
-        out = out.unionByName(part.withColumn("category", F.lit(None).cast("string")))
-    return out.select(key, *COLUMNS)
+    none = F.lit(None).cast("string")
+    return stack(skills, *[part.withColumn("category", none) for part in parts]).select(key, *COLUMNS)
 
 
 def record(entities: DataFrame, keys: dict[str, str] | None = None, key: str = "doc_id") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitmill.functions import regex as rx
+from fitmill.session import stack
 
 RARE = math.log(1.5) + 1
 MAX_GRAM = 3
@@ -90,8 +91,8 @@ def tfidf_of_pairs(pairs: DataFrame, docs: DataFrame, jobs: DataFrame, max_featu
     """
     none = F.lit(0).cast("long")
     sides = (
-        docs.join(pairs, doc).select(doc, job, "gram", F.col("tf").alias("a"), none.alias("b"))
-        .unionByName(jobs.join(pairs, job).select(doc, job, "gram", none.alias("a"), F.col("tf").alias("b")))
+        stack(docs.join(pairs, doc).select(doc, job, "gram", F.col("tf").alias("a"), none.alias("b")),
+              jobs.join(pairs, job).select(doc, job, "gram", none.alias("a"), F.col("tf").alias("b")))
         # both the grouping by gram and the ranking below are satisfied by this one exchange
         .repartition(doc, job)
         .groupBy(doc, job, "gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fitmill.functions import regex as rx
 from fitmill.operators.taxonomy import flatten
 from fitmill.rules import wordlists as wl
+from fitmill.session import stack
 
 
 def _folded(spans: DataFrame) -> DataFrame:
@@ -81,11 +82,8 @@ def plain_lists(spans: DataFrame, taxonomy: DataFrame, key: str = "doc_id") -> D
     free = folded.filter(F.col("label").isin("DATE", "PERSON"))
     kind = (F.when(F.col("label") == "ORG", "organizations").when(F.col("label") == "GPE", "locations")
             .when(F.col("label") == "DATE", "dates").otherwise("persons"))
-    return (
-        named.select(key, kind.alias("kind"), "text")
-        .unionByName(free.select(key, kind.alias("kind"), "text"))
-        .distinct()
-    )
+    shown = [df.select(key, kind.alias("kind"), "text") for df in (named, free)]
+    return stack(*shown).distinct()
 
 
 def boost_in_section(entities: DataFrame, section: Column | str,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "fitmill") -> SparkSession:
@@ -46,7 +46,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, name: str):
+def stack(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Union by column name, planned so that a later grouping is right.
+
+    Spark 4.1 lets a union of inputs hashed by the same key pass for hashed by that key, but
+    the adaptive planner may coalesce the partitions of each input differently. A grouping
+    above then sees one key in two tasks and returns it twice (seen with 4.1.2). Without the
+    claim the grouping gets its own exchange. Other versions ignore the setting.
+    """
+    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Unlike a cache, the written table survives the loss of executors and gives later

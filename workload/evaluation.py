@@ -19,6 +19,7 @@ from fitmill.plans import analysis as an
 from fitmill.plans import documents as doc
 from fitmill.rules import patterns as pt
 from fitmill.rules import wordlists as wl
+from fitmill.session import stack
 from workload.extraction import PLAIN_SQL, _patterns_sql, pattern_entities
 from workload.inputs import (
     SQL_EXPECTED, SQL_PROFILES, SQL_SPANS, SQL_STOP, SQL_TEMPLATES, SQL_TERMS, STOP_WORDS, cuts_sql, documents,
@@ -196,8 +197,8 @@ def prf_by_label_rows(spark, d):
     def truth(label, strings):
         return p.select("doc_id", F.lit(label).alias("label"), F.explode(strings).alias("text"))
 
-    expected = truth("DEGREE", en.education_strings(F.col("text"))).unionByName(
-        truth("JOB_TITLE", en.title_strings(F.col("text"))))
+    expected = stack(truth("DEGREE", en.education_strings(F.col("text"))),
+                     truth("JOB_TITLE", en.title_strings(F.col("text"))))
     return me.set_prf(predicted, expected, expected, ["doc_id", "label"])
 
 
@@ -365,7 +366,7 @@ SQL["baseline_comparison"] = f"""WITH {HITS}, {PAIRS_SQL},
   dw AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[^{SP}]+')) AS w FROM profiles),
   jwn AS (SELECT job_id, count(*) AS n FROM jw GROUP BY job_id),
   held AS (SELECT doc_id, count(*) AS m FROM pairs JOIN jw USING (job_id) JOIN dw USING (doc_id, w) GROUP BY doc_id),
-  r AS (SELECT coalesce(o.recall, 0) AS ours, coalesce(m, 0) / n AS base FROM pairs JOIN jwn USING (job_id) LEFT JOIN held USING (doc_id)
+  r AS (SELECT coalesce(o.recall, 0) AS ours, coalesce(held.m, 0) / n AS base FROM pairs JOIN jwn USING (job_id) LEFT JOIN held USING (doc_id)
     LEFT JOIN overlap o USING (doc_id, job_id))
 SELECT round(avg(ours), {DIGITS}) AS our_avg_recall, round(avg(base), {DIGITS}) AS baseline_avg_recall,
   round(100 * (avg(ours) - avg(base)), {DIGITS}) AS improvement FROM r"""

@@ -12,6 +12,7 @@ from fitmill.operators import taxonomy as tax
 from fitmill.operators import terms
 from fitmill.rules import patterns as pt
 from fitmill.rules import wordlists as wl
+from fitmill.session import stack
 from workload.inputs import (
     SQL_PROFILES, SQL_SPANS, SQL_TERMS, cuts_sql, documents, hits_sql, pick, pick_sql, profiles, spans, taxonomy,
 )
@@ -141,7 +142,7 @@ def org_span_filter(spark, d):
 
 def loc_date_span_filter(spark, d):
     s, t = spans(spark, d), taxonomy(spark)
-    return sp.locations(s, t).unionByName(sp.dates(s, t)).drop("rank")
+    return stack(sp.locations(s, t), sp.dates(s, t)).drop("rank")
 
 
 QUERIES["org_span_filter"] = org_span_filter
