@@ -126,7 +126,7 @@ FROM embeddings JOIN reps USING (label)"""
 
 
 def section_similarity(spark, d):
-    slices = sec.with_slices(profiles(spark, d)).select("doc_id", F.explode("slices").alias("section", "text"))
+    slices = sec.long_form(sec.with_slices(profiles(spark, d)), "slices")
     scored = sim.section_similarity(slices, category_pairs(spark, d), job_grams(spark, d), STOP_WORDS, MAX_FEATURES)
     return scored.withColumn("score", F.round("score", DIGITS))
 
