@@ -40,11 +40,14 @@ def overlap(doc_sets: DataFrame, job_sets: DataFrame) -> DataFrame:
 
 
 def overlap_lists(pairs: DataFrame, doc_sets: DataFrame, job_sets: DataFrame) -> DataFrame:
-    """Matched, missing and extra terms, sorted, and the ratios, for the given pairs."""
+    """Matched, missing and extra terms, sorted, and the ratios, for the given pairs.
+
+    Further columns of either side are kept.
+    """
     none = F.array().cast("array<string>")
     both = (
-        pairs.join(doc_sets.select("doc_id", F.col("terms").alias("_doc")), "doc_id", "left")
-        .join(job_sets.select("job_id", F.col("terms").alias("_job")), "job_id", "left")
+        pairs.join(doc_sets.withColumnRenamed("terms", "_doc"), "doc_id", "left")
+        .join(job_sets.withColumnRenamed("terms", "_job"), "job_id", "left")
         .withColumn("_doc", F.coalesce("_doc", none)).withColumn("_job", F.coalesce("_job", none))
     )
     matched = F.array_sort(F.array_intersect("_doc", "_job"))

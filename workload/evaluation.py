@@ -117,8 +117,7 @@ SELECT s.doc_id, {RECS_SQL} AS recommendations FROM scored s LEFT JOIN gap g ON
 def feedback_lists(spark, d):
     """Term lists of each document against the job of its category, with the job's own terms."""
     job_side = doc.job_profiles(jobs(spark, d), taxonomy(spark))
-    lists = mt.overlap_lists(category_pairs(spark, d), doc_sets(spark, d), job_side)
-    return lists.join(job_side.select("job_id", "job_title", "terms_by_category"), "job_id")
+    return mt.overlap_lists(category_pairs(spark, d), doc_sets(spark, d), job_side)
 
 
 FEEDBACK = f"{HITS}, {PAIRS_SQL}, {PAIR_LISTS_SQL}"

@@ -186,7 +186,7 @@ def hits_sql(texts: str, key: str, name: str) -> str:
   {name} AS MATERIALIZED (SELECT {key}, term, category, "start", CAST("start" + length(term) AS INTEGER) AS "end" FROM {name}_raw)"""
 
 
-# Spans as a tagger would give them: capitalised phrases, labelled by position.
+# Spans as a tagger would give them: capitalised phrases, labelled in turn.
 SPAN_PHRASE = r"[•-]?[A-Z][A-Za-z.]*(?: (?:of |and )?[A-Z][A-Za-z.]*)*"
 SPAN_LABELS = ["ORG", "GPE", "DATE", "PERSON"]
 
@@ -195,10 +195,10 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = profiles(spark, sf_dir).select("doc_id", rx.cut_at_matches(F.translate("text", rx.MARK, " "), SPAN_PHRASE).alias("pieces"))
     cut = offsets.with_bases(cut, "pieces")
     found = cut.select("*", F.posexplode_outer("pieces").alias("pos", "text")).filter("pos % 2 = 1")
+    label = pick(F.floor(F.col("pos") / 2) + F.col("doc_id"), SPAN_LABELS)
     start = offsets.offset_of("pieces", F.col("pos"))
-    return found.select("doc_id", "text", start.alias("start")).select(
-        "doc_id", pick(F.col("start") + F.col("doc_id"), SPAN_LABELS).alias("label"), "text", "start",
-        (F.col("start") + F.char_length("text")).alias("end"))
+    return found.select("doc_id", label.alias("label"), "text", start.alias("start")).select(
+        "doc_id", "label", "text", "start", (F.col("start") + F.char_length("text")).alias("end"))
 
 
 def cuts_sql(texts: str, name: str, tables: dict[str, list[str]], key: str = "doc_id", as_ascii: bool = True,
@@ -217,12 +217,12 @@ def cuts_sql(texts: str, name: str, tables: dict[str, list[str]], key: str = "do
   {name}_off AS (SELECT {key}, label, rank, p, i, CAST(sum(length(p)) OVER (PARTITION BY {key}, label, rank ORDER BY i) - length(p) AS INTEGER) AS "start"
     FROM {name}_pcs),
   {name} AS MATERIALIZED (SELECT o.{key}, label, CAST(rank AS INTEGER) AS rank, substring(text, "start" + 1, length(p)) AS raw, "start",
-      CAST("start" + length(p) AS INTEGER) AS "end"
+      CAST("start" + length(p) AS INTEGER) AS "end", i // 2 - 1 AS nth
     FROM {name}_off o JOIN {name}_txt t ON o.{key} = t.{key} WHERE i % 2 = 0)"""
 
 
 SQL_SPANS = (
     cuts_sql("profiles", "phrases", {"x": [SPAN_PHRASE]}, as_ascii=False, flags="")
     + ", spans AS MATERIALIZED (SELECT doc_id, "
-    + pick_sql('"start" + doc_id', SPAN_LABELS) + ' AS label, raw AS text, "start", "end" FROM phrases)'
+    + pick_sql('nth + doc_id', SPAN_LABELS) + ' AS label, raw AS text, "start", "end" FROM phrases)'
 )
