@@ -19,7 +19,7 @@ from fitmill.plans import analysis as an
 from fitmill.plans import documents as doc
 from fitmill.rules import patterns as pt
 from fitmill.rules import wordlists as wl
-from fitmill.session import stack
+from fitmill.session import cut_lineage, stack
 from workload.extraction import PLAIN_SQL, _patterns_sql, pattern_entities
 from workload.inputs import (
     SQL_EXPECTED, SQL_PROFILES, SQL_SPANS, SQL_STOP, SQL_TEMPLATES, SQL_TERMS, STOP_WORDS, cuts_sql, documents,
@@ -45,7 +45,9 @@ def rounded(df, *names):
 
 def full_analysis(spark, d):
     p, j, t = profiles(spark, d), jobs(spark, d), taxonomy(spark)
-    return an.full_analysis(an.best_pairs(p, j, t), p, j, t, STOP_WORDS)
+    # the analysis reads the pairs several times: rank once and keep the short result
+    pairs = cut_lineage(an.best_pairs(p, j, t), "best-pairs")
+    return an.full_analysis(pairs, p, j, t, STOP_WORDS)
 
 
 def analysis_rows(spark, d):
