@@ -9,6 +9,7 @@ from fitmill.operators import matching as mt
 from fitmill.operators import similarity as sim
 from fitmill.operators import terms as tm
 from fitmill.session import stack
+from tests.samples import texts
 from workload.inputs import STOP_WORDS, documents, jobs, taxonomy
 from pyspark.sql import functions as F
 
@@ -56,8 +57,8 @@ def test_grouping_above_a_union_is_whole(spark):
 
 
 def test_terms_beyond_broadcast_size(spark):
-    """The same hits when nothing may be broadcast."""
-    docs, t = documents(spark, SF_DIR), taxonomy(spark)
+    """The same hits when nothing may be broadcast, on short texts."""
+    docs, t = texts(spark), taxonomy(spark)
     want = {tuple(r) for r in mt.term_sets(docs, t).select("doc_id", F.array_join("terms", "|")).collect()}
     old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
