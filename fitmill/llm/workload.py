@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fitmill.llm import mixing
+from fitmill.llm import mixing, tokens, topk
 from fitmill.llm.shared import table
 
 
@@ -13,5 +15,25 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {"op5_source_mix": op5_source_mix}
-SQL: dict[str, str] = {}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokens.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read(files)
+
+
+def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+QUERIES = {f.__name__: f for f in (op5_source_mix, op9_token_files, op10_top_vectors)}
+SQL: dict[str, str] = {
+    "op10_top_vectors": """
+        WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+                  FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+                   FROM pairs)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
