@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitmill.llm import mixing, tokens, topk
+from fitmill.llm import mixing, tokens, topk, warc
 from fitmill.llm.shared import table
 
 
@@ -15,6 +15,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    streams = warc.write_streams(warc.with_revisits(table(spark, sf_dir, "pages")))
+    return warc.read_records(warc.normalise(streams)).drop("payload")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tokens.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return tokens.read(files)
@@ -24,8 +29,18 @@ def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
-QUERIES = {f.__name__: f for f in (op5_source_mix, op9_token_files, op10_top_vectors)}
+QUERIES = {f.__name__: f for f in (op5_source_mix, op8_warc_normaliser, op9_token_files, op10_top_vectors)}
 SQL: dict[str, str] = {
+    "op8_warc_normaliser": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+                   FROM pages),
+        f AS (SELECT *, CASE WHEN payload_bytes >= 1000
+                             THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first IS DISTINCT FROM page_id AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+        FROM f
+    """,
     "op10_top_vectors": """
         WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
