@@ -13,11 +13,13 @@ costs a repeated task, nothing else.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,40 +33,73 @@ from fitmill.llm.shared import filesystem, text_key, workspace, written
 MAGIC = b"PFOR\x01\0\0\0"
 BLOCK = 4096
 PERCENTILE = 95
-#: Segments of text whose ids a worker remembers; beyond it, it starts anew.
-REMEMBERED = 400_000
-#: A space or line feeds with the word behind them: no token of the vocabulary's pattern crosses the start of one.
+#: Words after which a worker keeps those met from then on, and forgets the ones that it kept before.
+REMEMBERED = 300_000
+#: Characters of text that are taken in at once.
+CHUNK = 1 << 20
+#: White space with the word behind it: no token of the vocabulary's pattern crosses the start of one.
 _SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 # ids of texts ------------------------------------------------------------------------
 
-@cache
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class Encoder:
+    """Gives the ids of texts as little-endian u32, just as the tokenizer gives them for each whole text.
 
-    return Tokenizer.from_file(path), {}
+    Byte-level BPE works within pieces, and no piece spans the end of a word before a space or line feed. So
+    the ids of words, with the one space before them, are remembered and joined; new words are encoded many at
+    a time, a line each, since a line feed between words is a piece of its own. Texts with white space of
+    other kinds, or with what may be a special token's string, and runs of white space are encoded as they are.
+    """
 
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.known, self.before = Tokenizer.from_file(path), {}, {}
+        self.line = self._plain("\n")
+        if len(self.line) != 4:
+            raise ValueError("the vocabulary has no token for a line feed alone")
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, segments: Iterable[str]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        new = [s for s in segments if s not in self.known]
+        self.known.update((s, self.before[s]) for s in new if s in self.before)
+        new = [s for s in new if s not in self.known]
+        simple = [s for s in new if s[0] != "\n" and s[:2] not in ("  ", " \n", " ")]
+        ids = np.frombuffer(self._plain("\n".join(simple)), "<u4")
+        cuts = np.flatnonzero(ids == np.frombuffer(self.line, "<u4")[0]).tolist()
+        data, begins, ends = ids.tobytes(), [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]
+        if simple:
+            self.known.update(zip(simple, (data[4 * b:4 * e] for b, e in zip(begins, ends, strict=True)), strict=True))
+        for s in new:
+            if s not in self.known:
+                lead = s[0] == "\n" and s[1:2] not in ("", " ", "\n")
+                self.known[s] = self.line + self._plain(s[1:]) if lead else self._plain(s)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; takes a few texts at a time, a very long one alone."""
+        out, k = [], 0
+        while k < len(texts):
+            size, begin = 0, k
+            while k < len(texts) and (k == begin or size + len(texts[k]) <= CHUNK):
+                size, k = size + len(texts[k]), k + 1
+            odd = [bool(_OTHER_SPACE.search(t)) or "<|" in t for t in texts[begin:k]]
+            found = [None if o else _SEGMENT.findall(t) for t, o in zip(texts[begin:k], odd)]
+            self._learn(dict.fromkeys(chain.from_iterable(f for f in found if f)))
+            ids = self.known.__getitem__
+            out += [self._plain(t) if f is None else b"".join(map(ids, f)) for t, f in zip(texts[begin:k], found)]
+        return out
 
-def encode(text: str, path: str) -> bytes:
-    """The ids of a text as little-endian u32, just as the tokenizer gives them for the whole text.
 
-    Byte-level BPE works within pieces, and no piece spans the end of a word before a space or line feed,
-    so the ids of segments are remembered and joined. Texts with white space of other kinds, or with what
-    may be a special token's string, are encoded whole.
-    """
-    tokenizer, known = _tokenizer(path)
-    if _OTHER_SPACE.search(text) or "<|" in text:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    segments = _SEGMENT.findall(text)
-    new = [s for s in dict.fromkeys(segments) if s not in known]
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list(dict.fromkeys(segments))
-    for segment, ids in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        known[segment] = np.array(ids.ids, "<u4").tobytes()
-    return b"".join(map(known.__getitem__, segments))
+@cache
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 # blocks ------------------------------------------------------------------------------
@@ -165,8 +200,11 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
                 system.create_dir(root, recursive=True)
                 path = f"{root}/part-{number:06d}-{context.taskAttemptId()}.pfor"
                 writer = Writer(out := system.open_output_stream(path))
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                writer.add(doc_id, encode(text.as_py() or "", tokenizer_path) + end)
+            for k in range(0, batch.num_rows, 256):
+                some = batch.slice(k, 256)
+                texts = [t or "" for t in some.column("text").to_pylist()]
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoder(tokenizer_path).encode(texts)):
+                    writer.add(doc_id, ids + end)
         if writer is not None:
             n_docs, n_ids = len(writer.ids), writer.close()
             out.close()
