@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitmill.llm import decontaminate, mixing, tokens, topk, warc
+from fitmill.llm import decontaminate, mixing, quality, tokens, topk, toxicity, warc
 from fitmill.llm.shared import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -20,6 +25,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams = warc.write_streams(warc.with_revisits(table(spark, sf_dir, "pages")))
     return warc.read_records(warc.normalise(streams)).drop("payload")
@@ -34,7 +44,7 @@ def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
-QUERIES = {f.__name__: f for f in (op5_source_mix, op6_decontamination, op8_warc_normaliser, op9_token_files, op10_top_vectors)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op5_source_mix, op6_decontamination, op7_quality, op8_warc_normaliser, op9_token_files, op10_top_vectors)}
 SQL: dict[str, str] = {
     "op8_warc_normaliser": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
