@@ -25,31 +25,15 @@ QUERIES_A_BLOCK = 256
 CANDIDATES_A_BLOCK = 4096
 
 
-def _blocks(size: int):
-    """Packs rows (vec_id, vector) of a task into blocks: smallest id as its name, ids and vectors as i64."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def block() -> pa.RecordBatch:
-            order = np.argsort(ids, kind="stable")
-            wide = np.zeros((len(ids), max(map(len, rows))), np.float64)
-            for i, k in enumerate(order):
-                wide[i, :len(rows[k])] = rows[k]
-            whole = np.floor(64 * wide).astype("<i8")
-            return pa.RecordBatch.from_pydict({"block": [min(ids)], "ids": [np.array(ids, "<i8")[order].tobytes()],
-                                               "vectors": [whole.tobytes()]})
-
-        ids, rows = [], []
-        for batch in batches:
-            for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("vector")):
-                ids.append(vec_id)
-                rows.append(vector.values.to_numpy(zero_copy_only=False))
-                if len(ids) == size:
-                    yield block()
-                    ids, rows = [], []
-        if ids:
-            yield block()
-
-    return pack
+def _block(table: pa.Table) -> pa.Table:
+    """Packs the rows of a block into one: ids, ascending, and vectors as i64."""
+    order = np.argsort(ids := table.column("vec_id").to_numpy(), kind="stable")
+    rows = [v.values.to_numpy(zero_copy_only=False) for v in table.column("vector")]
+    wide = np.zeros((len(ids), max(map(len, rows))), np.float64)
+    for i, k in enumerate(order):
+        wide[i, :len(rows[k])] = rows[k]
+    return pa.table({"block": [table.column("block")[0].as_py()], "ids": [ids[order].astype("<i8").tobytes()],
+                     "vectors": [np.floor(64 * wide).astype("<i8").tobytes()]})
 
 
 def _statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -108,11 +92,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             .groupBy(F.col("vec_id").cast("long").alias("vec_id"))
             .agg(F.min(F.col("embedding").cast("array<double>")).alias("vector")))
     rows = written(rows)
-    kind = "ids binary, vectors binary"
-    candidates = written(rows.mapInArrow(_blocks(CANDIDATES_A_BLOCK), "block long, " + kind))
-    queries = written(rows.where(is_query).mapInArrow(_blocks(QUERIES_A_BLOCK), "block long, " + kind))
-    sent = queries.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q")).join(candidates.select("block"))
-    pairs = candidates.join(sent, "block")
+    n_blocks = 1 + rows.count() // CANDIDATES_A_BLOCK
+
+    def packed(some: DataFrame, n: int) -> DataFrame:
+        dealt = some.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)))
+        return dealt.groupBy("block").applyInArrow(_block, "block long, ids binary, vectors binary")
+
+    asking = packed(rows.where(is_query), 1 + rows.where(is_query).count() // QUERIES_A_BLOCK)
+    sent = asking.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block"))
+    pairs = packed(rows, n_blocks).join(sent, "block")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
