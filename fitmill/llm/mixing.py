@@ -122,14 +122,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, most: int = 3) -> DataFrame:
     """The rows of docs that the mix takes, each as often as it takes them; all columns are kept."""
-    alike = W.partitionBy("_id", "_key").orderBy("_copies")
-    one = mix(docs, weights, share, most).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("copies").alias("_copies"))
-    one = one.withColumn("_nth", F.row_number().over(alike))
-    rows = (docs.withColumn("_id", F.col("doc_id")).withColumn("_key", text_key())
-            .withColumn("_nth", F.row_number().over(W.partitionBy("_id", "_key").orderBy("source", "n_chars"))))
-    both = rows.alias("d").join(one.alias("m"), F.col("d._id").eqNullSafe(F.col("m._id"))
-                                & (F.col("d._key") == F.col("m._key")) & (F.col("d._nth") == F.col("m._nth")))
-    kept = both.where("_copies > 0").select(*(F.col(f"d.`{c}`") for c in docs.columns),
-                                           F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
-    return kept.drop("_copy")
+    names = ["id", "key", "source"]
+    nth = F.row_number().over(W.partitionBy(*names).orderBy(F.lit(0)))  # rows alike in all three, if any
+    plan = mix(docs, weights, share, most).select(
+        F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "source", "copies").withColumn("nth", nth)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"),
+                       text_key().alias("key"), "source").withColumn("nth", nth)
+    r, m = rows.alias("r"), plan.alias("m")
+    same = F.col("r.nth") == F.col("m.nth")
+    for name in names:
+        same &= F.col(f"r.{name}").eqNullSafe(F.col(f"m.{name}"))
+    taken = r.join(m, same).where("m.copies > 0")
+    return taken.select("r.row", F.explode(F.sequence(F.lit(1), F.col("m.copies"))).alias("copy")).select("row.*")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitmill.llm import decontaminate, mixing, quality, substring_dedup, suffix_dedup, tokens, topk, toxicity, warc
+from fitmill.llm import decontaminate, mixing, neardup, quality, substring_dedup, suffix_dedup, tokens, topk, toxicity, warc
 from fitmill.llm.shared import table
 
 
@@ -15,6 +15,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_class")
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_suffix_dedup, op4_substring_dedup, op5_source_mix, op6_decontamination, op7_quality, op8_warc_normaliser, op9_token_files, op10_top_vectors)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_near_duplicates, op3_suffix_dedup, op4_substring_dedup, op5_source_mix, op6_decontamination, op7_quality, op8_warc_normaliser, op9_token_files, op10_top_vectors)}
 SQL: dict[str, str] = {
     "op8_warc_normaliser": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
