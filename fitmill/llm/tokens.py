@@ -34,7 +34,7 @@ MAGIC = b"PFOR\x01\0\0\0"
 BLOCK = 4096
 PERCENTILE = 95
 #: Words after which a worker keeps those met from then on, and forgets the ones that it kept before.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Characters of text that are taken in at once.
 CHUNK = 1 << 20
 #: White space with the word behind it: no token of the vocabulary's pattern crosses the start of one.
@@ -72,7 +72,8 @@ class Encoder:
         self.known.update((s, self.before[s]) for s in new if s in self.before)
         new = [s for s in new if s not in self.known]
         simple = [s for s in new if s[0] != "\n" and s[:2] not in ("  ", " \n", " ")]
-        ids = np.frombuffer(self._plain("\n".join(simple)), "<u4")
+        (joined,) = self.tokenizer.encode_batch_fast(["\n".join(simple)], add_special_tokens=False)
+        ids = np.array(joined.ids, "<u4")
         cuts = np.flatnonzero(ids == np.frombuffer(self.line, "<u4")[0]).tolist()
         data, begins, ends = ids.tobytes(), [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]
         if simple:
