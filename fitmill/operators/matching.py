@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitmill.operators import terms as tm
 from fitmill.rules import wordlists as wl
 from fitmill.session import stack
 
-GRID_BLOCKS = 32
+# jobs of a full grid
+MOST_JOBS = 1000
 
 
 def term_sets(texts: DataFrame, taxonomy: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -95,24 +96,40 @@ def score_pairs(overlaps: DataFrame, tfidf: DataFrame, embeddings: DataFrame | N
 
 def best_job(scores: DataFrame, by: str = "score") -> DataFrame:
     """One row per document: the job with the highest score, the lowest id on ties."""
-    rest = [c for c in scores.columns if c != "doc_id"]
-    order = F.struct(F.col(by), (-F.col("job_id")).alias("_id"))
-    return scores.groupBy("doc_id").agg(F.max_by(F.struct(*rest), order).alias("_best")).select("doc_id", "_best.*")
+    top = scores.groupBy("doc_id").agg(F.max(by).alias("_top"))
+    rest = [c for c in scores.columns if c not in ("doc_id", "job_id")]
+    order = Window.partitionBy("doc_id").orderBy("job_id")
+    return (
+        scores.join(top, "doc_id").filter(F.col(by) == F.col("_top"))
+        .withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").select("doc_id", "job_id", *rest)
+    )
+
+
+def best_of_all(scores: DataFrame, docs: DataFrame, jobs: DataFrame, by: str = "score") -> DataFrame:
+    """``doc_id, job_id, by`` of every document; the lowest job id with 0 where nothing matches."""
+    lowest = jobs.select(F.min("job_id")).scalar()
+    found = best_job(scores.select("doc_id", "job_id", by), by)
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id", F.coalesce("job_id", lowest).alias("job_id"), F.coalesce(by, F.lit(0.0)).alias(by))
 
 
-def full_grid(scores: DataFrame, docs: DataFrame, jobs: DataFrame, value: str = "score") -> DataFrame:
-    """``doc_id, job_id, value`` of every document with every job, 0 where there is no evidence.
+def top_jobs(scores: DataFrame, k: int = 10, by: str = "score") -> DataFrame:
+    """The k best jobs of every document that has any evidence, with their rank."""
+    order = Window.partitionBy("doc_id").orderBy(F.col(by).desc(), "job_id")
+    return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    The job ids are spread over blocks and every document visits every block, so the grid is
-    an equi-join on the block: broadcast while the ids are few, shuffled beyond that.
+
+def full_grid(scores: DataFrame, docs: DataFrame, job_ids: list, value: str = "score") -> DataFrame:
+    """``doc_id, job_id, value`` of every document with every listed job, 0 where there is no evidence.
+
+    The output has a row for each, so the list is bounded; ``top_jobs`` is for many jobs.
     """
-    blocks = docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(GRID_BLOCKS - 1))).alias("_block"))
-    ids = jobs.select("job_id", F.pmod(F.hash("job_id"), F.lit(GRID_BLOCKS)).alias("_block"))
-    grid = blocks.join(ids, "_block").select("doc_id", "job_id", F.lit(0.0).alias(value))
-    return (
-        stack(grid, scores.select("doc_id", "job_id", value))
-        .groupBy("doc_id", "job_id").agg(F.max(value).alias(value))
-    )
+    if len(job_ids) > MOST_JOBS:
+        raise ValueError(f"a grid has {MOST_JOBS} jobs at most; take top_jobs for more")
+    listed = F.array(*[F.lit(j) for j in job_ids]).cast("array<bigint>")
+    grid = docs.select("doc_id", F.explode(listed).alias("job_id"), F.lit(0.0).alias(value))
+    known = scores.filter(F.col("job_id").isin(job_ids)).select("doc_id", "job_id", value)
+    return stack(grid, known).groupBy("doc_id", "job_id").agg(F.max(value).alias(value))
 
 
 def pivot(grid: DataFrame, job_ids: list, value: str = "score") -> DataFrame:

@@ -71,7 +71,7 @@ def accuracy(found: DataFrame, expected: DataFrame, key: str = "doc_id", value:
 
 
 def win_rate(scores: DataFrame, a: str, b: str) -> DataFrame:
-    """Share of rows in which ``a`` is strictly greater than ``b``."""
+    """Share of rows in which ``a`` is strictly greater than ``b``, and how many rows lack one of them."""
     wins = F.col(a) > F.col(b)
-    return scores.agg(F.count_if(wins).alias("wins"), F.count("*").alias("total"),
-                      F.avg(wins.cast("double")).alias("win_rate"))
+    return scores.agg(F.count_if(wins).alias("wins"), F.count(wins).alias("total"),
+                      F.count_if(wins.isNull()).alias("without"), F.avg(wins.cast("double")).alias("win_rate"))

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitmill.functions import regex as rx
-from fitmill.session import stack
 
 RARE = math.log(1.5) + 1
 MAX_GRAM = 3
@@ -27,9 +26,11 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def gram_counts(texts: DataFrame, stop_words: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
+def gram_counts(texts: DataFrame, stop_words: list[str], key: str | list[str] = "doc_id", text: str = "text") -> DataFrame:
     """``key, gram, tf`` of one to three consecutive words; stop words go out first.
 
+    Texts without a key can't be paired and are left out.
+
     The texts are shuffled by key before they are cut up: the text is several times smaller
     than its grams, and every later grouping by the key needs no further exchange.
     """
@@ -37,14 +38,15 @@ def gram_counts(texts: DataFrame, stop_words: list[str], key: str = "doc_id", te
     if stop_words:
         tokens = F.filter(tokens, lambda t: ~t.isin(stop_words))
     left = F.size("tokens") - F.col("pos")
+    keys = [key] if isinstance(key, str) else key
     return (
-        texts.filter(F.col(key).isNotNull()).select(key, text).repartition(key)
-        .select(key, tokens.alias("tokens"))
-        .select(key, "tokens", F.posexplode_outer("tokens").alias("pos", "token"))
+        texts.na.drop(subset=keys).select(*keys, text).repartition(*keys)
+        .select(*keys, tokens.alias("tokens"))
+        .select(*keys, "tokens", F.posexplode_outer("tokens").alias("pos", "token"))
         .filter(F.col("pos").isNotNull())
-        .select(key, "tokens", "pos", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_GRAM), left))).alias("n"))
-        .select(key, F.array_join(F.slice("tokens", F.col("pos") + 1, F.col("n")), " ").alias("gram"))
-        .groupBy(key, "gram").agg(F.count("*").alias("tf"))
+        .select(*keys, "tokens", "pos", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_GRAM), left))).alias("n"))
+        .select(*keys, F.array_join(F.slice("tokens", F.col("pos") + 1, F.col("n")), " ").alias("gram"))
+        .groupBy(*keys, "gram").agg(F.count("*").alias("tf"))
     )
 
 
@@ -82,32 +84,46 @@ def tfidf_all_pairs(docs: DataFrame, jobs: DataFrame, doc: str = "doc_id", job:
     )
 
 
+def _tf_maps(grams: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """One map of gram to count per text; groups by what the grams are partitioned by already."""
+    return grams.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("gram", "tf"))).alias(name))
+
+
 def tfidf_of_pairs(pairs: DataFrame, docs: DataFrame, jobs: DataFrame, max_features: int | None = None,
-                   doc: str = "doc_id", job: str = "job_id") -> DataFrame:
+                   doc: str | list[str] = "doc_id", job: str = "job_id") -> DataFrame:
     """``doc, job, tfidf`` for the given pairs; pairs without a common gram score 0.
 
-    ``max_features`` keeps only the grams with the largest joint count of each pair, ties
-    in order of the gram.
+    Grams stay where their text is: each text becomes one map, a pair brings its two maps into
+    one row, and the sums are taken there. ``max_features`` keeps only the grams with the largest
+    joint count of each pair, ties in order of the gram.
     """
-    none = F.lit(0).cast("long")
-    sides = (
-        stack(docs.join(pairs, doc).select(doc, job, "gram", F.col("tf").alias("a"), none.alias("b")),
-              jobs.join(pairs, job).select(doc, job, "gram", none.alias("a"), F.col("tf").alias("b")))
-        # both the grouping by gram and the ranking below are satisfied by this one exchange
-        .repartition(doc, job)
-        .groupBy(doc, job, "gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    )
+    keys = [doc] if isinstance(doc, str) else doc
+    zero = F.lit(0).cast("long")
+    # the job maps go to the pairs, and the pairs to the documents' maps, which don't move
+    wanted = pairs.select(*keys, job).join(_tf_maps(jobs, [job], "_job"), job, "left")
+    both = wanted.join(_tf_maps(docs, keys, "_doc"), keys, "left")
+    empty = F.create_map().cast("map<string,bigint>")
+    merged = F.map_zip_with(F.coalesce("_doc", empty), F.coalesce("_job", empty),
+                            lambda _, a, b: F.struct(F.coalesce(a, zero).alias("a"), F.coalesce(b, zero).alias("b")))
     if max_features:
-        order = Window.partitionBy(doc, job).orderBy((F.col("a") + F.col("b")).desc(), "gram")
-        sides = sides.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= max_features)
-    shared = (F.col("a") > 0) & (F.col("b") > 0)
-    aa, bb = F.col("a") * F.col("a"), F.col("b") * F.col("b")
-    sums = sides.groupBy(doc, job).agg(
-        F.sum(F.col("a") * F.col("b")).alias("dot"), F.sum(aa).alias("aa"), F.sum(bb).alias("bb"),
-        F.sum(F.when(shared, aa).otherwise(0)).alias("sa"), F.sum(F.when(shared, bb).otherwise(0)).alias("sb"))
-    scored = sums.select(
-        doc, job, _cosine(F.col("dot"), F.col("aa"), F.col("sa"), F.col("bb"), F.col("sb")).alias("tfidf"))
-    return pairs.select(doc, job).join(scored, [doc, job], "left").fillna(0.0, ["tfidf"])
+        ranked = F.transform(F.map_entries(merged), lambda e: F.struct(
+            (-(e["value"]["a"] + e["value"]["b"])).alias("n"), e["key"].alias("gram"),
+            e["value"]["a"].alias("a"), e["value"]["b"].alias("b")))
+        counts = F.slice(F.sort_array(ranked), 1, max_features)
+    else:
+        counts = F.map_values(merged)
+    start = F.struct(*[zero.alias(c) for c in ("dot", "aa", "bb", "sa", "sb")])
+
+    def add(acc, e):
+        aa, bb, shared = e["a"] * e["a"], e["b"] * e["b"], (e["a"] > 0) & (e["b"] > 0)
+        return F.struct(
+            (acc["dot"] + e["a"] * e["b"]).alias("dot"), (acc["aa"] + aa).alias("aa"), (acc["bb"] + bb).alias("bb"),
+            (acc["sa"] + F.when(shared, aa).otherwise(zero)).alias("sa"),
+            (acc["sb"] + F.when(shared, bb).otherwise(zero)).alias("sb"))
+
+    sums = both.select(*keys, job, F.aggregate(counts, start, add).alias("s"))
+    return sums.select(*keys, job, _cosine(
+        F.col("s.dot"), F.col("s.aa"), F.col("s.sa"), F.col("s.bb"), F.col("s.sb")).alias("tfidf"))
 
 
 def vector_cosine(a: Column, b: Column) -> Column:
@@ -131,14 +147,17 @@ def embedding_of_pairs(pairs: DataFrame, docs: DataFrame, jobs: DataFrame, doc:
 
 
 def section_similarity(sections: DataFrame, pairs: DataFrame, jobs: DataFrame, stop_words: list[str],
-                       max_features: int | None = None) -> DataFrame:
-    """``doc_id, job_id, section, score`` for ``doc_id, section, text`` rows and the given pairs."""
-    keyed = (
-        sections.filter(rx.strip(F.col("text")) != "")
-        .withColumn("part", F.concat_ws("\t", F.col("doc_id").cast("string"), "section"))
-    )
-    wanted = keyed.select("part", "doc_id", "section").join(pairs, "doc_id").select("part", "job_id")
-    scored = tfidf_of_pairs(wanted, gram_counts(keyed, stop_words, "part"), jobs, max_features, "part")
-    named = F.split("part", "\t", 2)
-    return scored.select(named[0].cast("long").alias("doc_id"), "job_id", named[1].alias("section"),
-                         F.col("tfidf").alias("score"))
+                       max_features: int | None = None, embeddings: DataFrame | None = None) -> DataFrame:
+    """``doc_id, job_id, section, score`` for ``doc_id, section, text`` rows and the given pairs.
+
+    ``embeddings`` may hold ``doc_id, job_id, section, embedding`` percentages, which go first.
+    """
+    filled = sections.filter(rx.strip(F.col("text")) != "").select("doc_id", "section", "text")
+    wanted = filled.select("doc_id", "section").join(pairs.select("doc_id", "job_id"), "doc_id")
+    keys = ["doc_id", "section"]
+    scored = tfidf_of_pairs(wanted, gram_counts(filled, stop_words, keys), jobs, max_features, keys)
+    score = F.col("tfidf")
+    if embeddings is not None:
+        scored = scored.join(embeddings, [*keys, "job_id"], "left")
+        score = F.coalesce("embedding", score)
+    return scored.select("doc_id", "job_id", "section", score.alias("score"))

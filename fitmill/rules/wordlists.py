@@ -5,20 +5,6 @@ expected terms and the job texts per category are larger and belong to the user:
 always input tables.
 """
 
-LABELS = {
-    "SKILL": "Technical or soft skill",
-    "DEGREE": "Academic degree",
-    "INSTITUTION": "Educational institution",
-    "FIELD_OF_STUDY": "Major or field of study",
-    "JOB_TITLE": "Job title or role",
-    "COMPANY": "Company or organisation",
-    "DURATION": "Time in a job",
-    "CERTIFICATION": "Professional certification",
-    "PROJECT": "Project name",
-    "LOCATION": "Place",
-    "DATE": "Date or time period",
-}
-
 # label -> key of the plain record
 RECORD_KEYS = {
     "SKILL": "skills",

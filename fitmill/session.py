@@ -28,15 +28,14 @@ def local_session(cores: int | str = 8, app: str = "fitmill") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in
-    local tests, a fresh temporary folder is made and set as the checkpoint folder.
+    A cluster names it in ``spark.checkpoint.dir``; without it, it's an error. Only in a local
+    session, as in tests, a fresh temporary folder is made and set as the checkpoint folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -8,29 +8,32 @@ from pyspark.sql import types as T
 
 from fitmill.functions import text as tx
 
-CSV_SCHEMA = T.StructType([
-    T.StructField("Category", T.StringType()),
-    T.StructField("Resume", T.StringType()),
-])
+CSV_COLUMNS = ("Category", "Resume")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = CSV_SCHEMA,
+def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...] = CSV_COLUMNS,
              skip_malformed: bool = False, clean: bool = False) -> DataFrame:
-    """Read a labelled CSV with quoted multi-line texts.
+    """The named columns of a labelled CSV with quoted multi-line texts.
 
-    ``skip_malformed`` drops rows that do not fit the schema and trims the column names.
-    ``clean`` adds the cleaned text beside the raw one.
+    Columns are found by the header's names, trimmed, wherever they stand; a missing one is an
+    error and others are left out. ``skip_malformed`` drops rows that have more or fewer fields
+    than the header. ``clean`` adds the cleaned text beside the raw one. A file with quoted line
+    breaks can't be split, so a large corpus comes in several files, each with the header.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"')
-        .option("enforceSchema", True)
-        .option("mode", "DROPMALFORMED" if skip_malformed else "PERMISSIVE")
-        .csv(path)
-    )
+    reader = (spark.read.option("header", True).option("multiLine", True)
+              .option("quote", '"').option("escape", '"'))
+    names = [c.strip() for c in reader.csv(path).columns]
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(names)}")
+    # places for names, since a header may repeat one; the last field catches rows that don't fit
+    places = [f"_{k}" for k in range(len(names))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*places, "_corrupt"]])
+    rows = (reader.schema(schema).option("enforceSchema", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt").csv(path))
     if skip_malformed:
-        df = df.toDF(*[c.strip() for c in df.columns])
+        rows = rows.filter(F.col("_corrupt").isNull())
+    df = rows.select(*[F.col(places[names.index(c)]).alias(c) for c in columns])
     if clean:
         df = df.withColumn("Resume_Cleaned", tx.clean_text(F.col("Resume")))
     return df
@@ -40,12 +43,3 @@ def write_csv(df: DataFrame, path: str) -> None:
     (df.write.option("header", True).option("quote", '"').option("escape", '"')
        .option("quoteAll", True).csv(path))
 
-
-def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Use all cores when the input comes in fewer splits than there are cores.
-
-    Large inputs have more splits than cores and are left alone. Spreading by the key
-    spares later groupings by that key their own exchange.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(key) if df.rdd.getNumPartitions() < cores else df

@@ -76,6 +76,9 @@ def test_section_similarity(spark, tables):
     rows = sim.section_similarity(sections, pairs, tables[3], STOP, 500).collect()
     assert {(r.doc_id, r.section, round(r.score, 9)) for r in rows} == {
         (0, "skills", round(tfidf("alpha beta", JOBS[0]), 9)), (1, "skills", round(tfidf("zeta", JOBS[5]), 9))}
+    emb = spark.createDataFrame([(1, 5, "skills", 42.0)], "doc_id long, job_id long, section string, embedding double")
+    rows = sim.section_similarity(sections, pairs, tables[3], STOP, None, emb).collect()
+    assert {r.doc_id: r.score for r in rows}[1] == 42.0
 
 
 def test_vector_cosine(spark):
@@ -121,8 +124,10 @@ def test_scores_best_and_grid(spark, sets):
     assert got[1, 10].score == pytest.approx(80 * 0.3 + f1(*[s[0][1] for s in (SETS_D, SETS_J)]) * 70)
     assert got[2, 11].score == pytest.approx(3.0) and got[2, 11].fit_level == "Weak" and got[1, 10].fit_level == "Moderate"
     scores = mt.score_pairs(mt.overlap(docs, jobs), tf)
-    grid = mt.full_grid(scores, docs, jobs)
+    grid = mt.full_grid(scores, docs, [10, 11, 12])
     assert grid.count() == 9 and grid.filter("score = 0").count() == 6
+    with pytest.raises(ValueError):
+        mt.full_grid(scores, docs, list(range(mt.MOST_JOBS + 1)))
     wide = {r.doc_id: r.asDict() for r in mt.pivot(grid, [10, 11, 12]).collect()}
     assert wide[3] == {"doc_id": 3, "10": 0.0, "11": 0.0, "12": 0.0}
 
@@ -130,6 +135,11 @@ def test_scores_best_and_grid(spark, sets):
 def test_best_job_takes_lowest_id_on_ties(spark):
     df = spark.createDataFrame([(1, 7, 5.0), (1, 3, 5.0), (1, 1, 4.0)], "doc_id long, job_id long, score double")
     assert mt.best_job(df).first().job_id == 3
+    docs = spark.createDataFrame([(1,), (2,)], "doc_id long")
+    jobs = spark.createDataFrame([(4,), (9,)], "job_id long")
+    assert {tuple(r) for r in mt.best_of_all(df, docs, jobs).collect()} == {(1, 3, 5.0), (2, 4, 0.0)}
+    top = mt.top_jobs(df, 2).orderBy("rank").collect()
+    assert [(r.job_id, r["rank"]) for r in top] == [(3, 1), (7, 2)]
 
 
 def test_fit_levels(spark):

@@ -1,5 +1,7 @@
 """Readers and writers with real files."""
 
+import pytest
+
 from fitmill.sources import corpus, files, results
 from pyspark.sql import functions as F
 
@@ -11,6 +13,15 @@ def test_csv_round_trip_and_malformed_rows(spark, tmp_path):
     back = corpus.read_csv(spark, str(tmp_path / "out"), clean=True)
     assert {(r.Category, r.Resume) for r in back.collect()} == {("x", text), ("y", "plain")}
     assert "Resume_Cleaned" in back.columns
+    for name, head in (("swapped", "Resume,Category"), ("padded", " Resume , Category "), ("more", "Resume,ID,Category")):
+        more = "7," if name == "more" else ""
+        (tmp_path / f"{name}.csv").write_text(f"{head}\nData,{more}python dev\n")
+        for skip in (False, True):
+            rows = corpus.read_csv(spark, str(tmp_path / f"{name}.csv"), skip_malformed=skip).collect()
+            assert [(r.Category, r.Resume) for r in rows] == [("python dev", "Data")]
+    (tmp_path / "none.csv").write_text("Resume,Kind\na,b\n")
+    with pytest.raises(ValueError, match="Category"):
+        corpus.read_csv(spark, str(tmp_path / "none.csv"))
     (tmp_path / "bad.csv").write_text("Category , Resume\na,one\nb,two,three,four\nc,five\n")
     kept = corpus.read_csv(spark, str(tmp_path / "bad.csv"), skip_malformed=True)
     assert kept.columns == ["Category", "Resume"] and {r.Resume for r in kept.collect()} == {"one", "five"}

@@ -26,8 +26,8 @@ from workload.inputs import (
     expected_terms, hits_sql, job_templates, jobs, profiles, spans, table, taxonomy,
 )
 from workload.matching import (
-    CAPPED, COSINE_SQL, DIGITS, DOC_GRAMS, EXTRA, FIT_SQL, JOB_GRAMS, LISTS_SQL, MATCHED, MISSING, OVERLAP_SQL, PAIRS_SQL,
-    SCORES, BEST_SQL, best_match, capped_sql, category_pairs, doc_sets, tfidf_capped, vectors,
+    COSINE_SQL, DIGITS, DOC_GRAMS, EXTRA, FIT_SQL, JOB_GRAMS, LISTS_SQL, MATCHED, MISSING, OVERLAP_SQL, PAIRS_SQL,
+    SCORES, BEST_SQL, best_match, pairs_sql, category_pairs, doc_grams, doc_sets, job_grams, vectors,
 )
 from workload.sections import TITLES_SQL, strings_sql
 from workload.text import SP, repair_sql, words_sql
@@ -98,7 +98,7 @@ SUGGEST_SQL = """array_to_string(list_filter([
     CASE WHEN len(missing) > 0 THEN 'Keywords to consider adding (if applicable): ' || array_to_string(missing[1:5], ', ') END,
     CASE WHEN len(extra) > 0 THEN 'Unique skills to highlight: ' || array_to_string(extra[1:3], ', ') END], lambda s: s IS NOT NULL), '|')"""
 ANALYSIS = f"""{HITS}, {BEST_PAIRS_SQL}, {PAIR_LISTS_SQL}, {GAP_SQL}, {TECH_SQL}, {TITLES_SQL}, {SQL_STOP}, {DOC_GRAMS}, {JOB_GRAMS},
-  {capped_sql('dg', 'pairs', 'capped')},
+  {pairs_sql('dg', 'pairs', 'capped')},
   scored AS (SELECT l.*, c.tfidf, coalesce(o.f1, 0) AS f1, c.tfidf * CAST(0.3 AS DOUBLE) + coalesce(o.f1, 0) * 100 * CAST(0.7 AS DOUBLE) AS score
     FROM lists l JOIN capped c USING (doc_id, job_id) LEFT JOIN overlap o USING (doc_id, job_id))"""
 QUERIES["full_analysis"] = analysis_rows
@@ -265,7 +265,7 @@ def scored_rows(spark, d):
     return rounded(out, "skill_f1", "semantic_score", "overall_score")
 
 
-SCORED = f"""{HITS}, {PAIRS_SQL}, {PAIR_LISTS_SQL}, {SQL_STOP}, {DOC_GRAMS}, {JOB_GRAMS}, {capped_sql('dg', 'pairs', 'capped')},
+SCORED = f"""{HITS}, {PAIRS_SQL}, {PAIR_LISTS_SQL}, {SQL_STOP}, {DOC_GRAMS}, {JOB_GRAMS}, {pairs_sql('dg', 'pairs', 'capped')},
   scored AS (SELECT doc_id, category, job_id, true AS success, CAST(len(matched) + len(extra) AS INTEGER) AS skills_extracted,
       CAST(len(matched) AS INTEGER) AS skills_matched, CAST(len(missing) AS INTEGER) AS skills_missing,
       coalesce(f1, 0) AS skill_f1, tfidf AS semantic_score,
@@ -299,27 +299,44 @@ FROM levels GROUP BY fit_level"""
 def categorised_sets(spark, d):
     """Terms per document with its category; documents without terms have an empty list."""
     docs = profiles(spark, d).select("doc_id", "category")
-    return docs.join(doc_sets(spark, d), "doc_id", "left").withColumn(
-        "terms", F.coalesce("terms", F.array().cast("array<string>")))
+    return _with_sets(docs, doc_sets(spark, d))
+
+
+def _with_sets(docs, sets):
+    return docs.join(sets, "doc_id", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<string>")))
+
+
+def repaired(spark, d):
+    """Repaired texts that are long enough, as a corpus is evaluated."""
+    text = F.col("text")
+    docs = profiles(spark, d).select("doc_id", "category", tx.repair_artefacts(text).alias("text"))
+    return docs.filter(tx.long_enough(text))
+
+
+def repaired_sets(spark, d):
+    docs = repaired(spark, d)
+    return _with_sets(docs.select("doc_id", "category"), mt.term_sets(docs, taxonomy(spark)))
 
 
 CORPUS = f"{SQL_TERMS}, {SQL_PROFILES}, {hits_sql('profiles', 'doc_id', 'hits')}"
+KEPT = f"kept AS MATERIALIZED (SELECT * FROM (SELECT doc_id, category, {repair_sql('text')} AS text FROM profiles) WHERE length(text) >= 100)"
+REPAIRED = f"{SQL_TERMS}, {SQL_PROFILES}, {KEPT}, {hits_sql('kept', 'doc_id', 'hits')}"
 QUERIES["top_terms_by_category"] = lambda spark, d: cp.top_terms_by_category(categorised_sets(spark, d))
 SQL["top_terms_by_category"] = f"""WITH {CORPUS}, c AS (SELECT p.category, term, count(*) AS n FROM hits JOIN profiles p USING (doc_id) GROUP BY ALL)
 SELECT category, term, n, CAST(row_number() OVER (PARTITION BY category ORDER BY n DESC, term) AS INTEGER) AS rank FROM c QUALIFY rank <= 10"""
-QUERIES["top_terms"] = lambda spark, d: cp.top_terms(categorised_sets(spark, d), taxonomy(spark))
-SQL["top_terms"] = f"""WITH {CORPUS} SELECT term, count(*) AS n, any_value(category) AS category FROM hits GROUP BY term ORDER BY n DESC, term LIMIT 20"""
+QUERIES["top_terms"] = lambda spark, d: cp.top_terms(repaired_sets(spark, d), taxonomy(spark))
+SQL["top_terms"] = f"""WITH {REPAIRED} SELECT term, count(*) AS n, any_value(category) AS category FROM hits GROUP BY term ORDER BY n DESC, term LIMIT 20"""
 QUERIES["expected_recall"] = lambda spark, d: rounded(
-    cp.expected_recall(categorised_sets(spark, d), expected_terms(spark)), "avg_recall")
-SQL["expected_recall"] = f"""WITH {CORPUS}, {SQL_EXPECTED},
+    cp.expected_recall(repaired_sets(spark, d), expected_terms(spark)), "avg_recall")
+SQL["expected_recall"] = f"""WITH {REPAIRED}, {SQL_EXPECTED},
   sizes AS (SELECT category, count(*) AS len FROM expected GROUP BY category),
-  found AS (SELECT doc_id, count(*) AS n FROM hits h JOIN profiles p USING (doc_id) JOIN (SELECT DISTINCT category, lower(term) AS term FROM expected) e
+  found AS (SELECT doc_id, count(*) AS n FROM hits h JOIN kept p USING (doc_id) JOIN (SELECT DISTINCT category, lower(term) AS term FROM expected) e
     ON e.category = p.category AND e.term = h.term GROUP BY doc_id),
-  r AS (SELECT category, coalesce(n, 0) / len AS recall FROM profiles JOIN sizes USING (category) LEFT JOIN found USING (doc_id))
+  r AS (SELECT category, coalesce(n, 0) / len AS recall FROM kept JOIN sizes USING (category) LEFT JOIN found USING (doc_id))
 SELECT category, count(*) AS n_docs, round(avg(recall), {DIGITS}) AS avg_recall FROM r GROUP BY category
 UNION ALL SELECT 'ALL', count(*), round(avg(recall), {DIGITS}) FROM r"""
-QUERIES["terms_per_document"] = lambda spark, d: rounded(cp.terms_per_document(categorised_sets(spark, d)), "avg_terms")
-SQL["terms_per_document"] = f"""WITH {CORPUS}, n AS (SELECT p.doc_id, p.category, count(term) AS n FROM profiles p LEFT JOIN hits USING (doc_id) GROUP BY ALL)
+QUERIES["terms_per_document"] = lambda spark, d: rounded(cp.terms_per_document(repaired_sets(spark, d)), "avg_terms")
+SQL["terms_per_document"] = f"""WITH {REPAIRED}, n AS (SELECT p.doc_id, p.category, count(term) AS n FROM kept p LEFT JOIN hits USING (doc_id) GROUP BY ALL)
 SELECT category, count(*) AS n_docs, round(avg(n), {DIGITS}) AS avg_terms FROM n GROUP BY category
 UNION ALL SELECT 'ALL', count(*), round(avg(n), {DIGITS}) FROM n"""
 
@@ -380,15 +397,21 @@ SELECT count(*) FILTER (WHERE hit) AS correct, count(*) AS total, round(avg(CAST
 
 
 def win_rate(spark, d):
-    emb = sim.embedding_of_pairs(*vectors(spark, d)).select("doc_id", "embedding")
-    return rounded(me.win_rate(tfidf_capped(spark, d).join(emb, "doc_id"), "embedding", "tfidf"), "win_rate")
+    """Embedding against TF-IDF over the same pairs: a document's vector by its id, a job's by its label."""
+    pairs, (_, docs, reps) = category_pairs(spark, d), vectors(spark, d)
+    emb = sim.embedding_of_pairs(pairs, docs, reps)
+    tfidf = sim.tfidf_of_pairs(pairs, doc_grams(spark, d), job_grams(spark, d))
+    return rounded(me.win_rate(tfidf.join(emb, ["doc_id", "job_id"]), "embedding", "tfidf"), "win_rate")
 
 
 QUERIES["win_rate"] = win_rate
-SQL["win_rate"] = f"""WITH {CAPPED}, reps AS (SELECT label, arg_min(embedding, vec_id) AS rv FROM embeddings GROUP BY label),
-  emb AS (SELECT vec_id AS doc_id, {COSINE_SQL.format(a='embedding', b='rv')} AS e FROM embeddings JOIN reps USING (label))
-SELECT count(*) FILTER (WHERE e > tfidf) AS wins, count(*) AS total, round(avg(CAST(e > tfidf AS INTEGER)), {DIGITS}) AS win_rate
-FROM capped JOIN emb USING (doc_id)"""
+SQL["win_rate"] = f"""WITH {SQL_STOP}, {SQL_PROFILES}, {SQL_TEMPLATES}, {DOC_GRAMS}, {JOB_GRAMS}, {PAIRS_SQL}, {pairs_sql('dg', 'pairs', 'plain')},
+  reps AS (SELECT label AS job_id, arg_min(embedding, vec_id) AS rv FROM embeddings GROUP BY label),
+  emb AS (SELECT doc_id, job_id, {COSINE_SQL.format(a='embedding', b='rv')} AS e
+    FROM pairs JOIN embeddings ON vec_id = doc_id JOIN reps USING (job_id)),
+  r AS (SELECT e > tfidf AS win FROM plain LEFT JOIN emb USING (doc_id, job_id))
+SELECT count(*) FILTER (WHERE win) AS wins, count(win) AS total, count(*) - count(win) AS without, round(avg(CAST(win AS INTEGER)), {DIGITS}) AS win_rate
+FROM r"""
 
 QUERIES["category_counts"] = lambda spark, d: cp.category_counts(documents(spark, d))
 SQL["category_counts"] = "SELECT source AS category, count(*) AS n FROM documents GROUP BY source ORDER BY category"

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from fitmill.functions import regex as rx
 from fitmill.operators import offsets
-from fitmill.sources.corpus import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,8 +120,9 @@ def pick_sql(index: str, options: list[str]) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given documents, dealt out by id: each given file is one row group, which one task would read."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"), "lang", "text")
-    return spread(docs)
+    return docs.repartition("doc_id")
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

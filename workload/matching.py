@@ -79,13 +79,13 @@ PAIRS_SQL = """pairs AS (SELECT doc_id, coalesce(t.job_id, (SELECT max(job_id) F
     FROM profiles p LEFT JOIN templates t USING (category))"""
 
 
-def capped_sql(docs, pairs, name, key="doc_id"):
-    """Direct formula over the kept grams of each pair."""
+def pairs_sql(docs, pairs, name, key="doc_id", most=None):
+    """Direct formula over the grams of each pair, or the most frequent of them."""
+    kept = f"QUALIFY row_number() OVER (PARTITION BY {key}, job_id ORDER BY a + b DESC, gram) <= {most}" if most else ""
     return f"""{name}_u AS (SELECT {key}, job_id, gram, sum(a) AS a, sum(b) AS b FROM (
       SELECT {key}, job_id, gram, tf AS a, 0 AS b FROM {docs} JOIN {pairs} USING ({key})
       UNION ALL SELECT {key}, job_id, gram, 0, tf FROM jg JOIN {pairs} USING (job_id)) GROUP BY {key}, job_id, gram),
-  {name}_k AS (SELECT *, CASE WHEN a > 0 AND b > 0 THEN 1.0 ELSE ln(3.0 / 2) + 1 END AS idf FROM {name}_u
-    QUALIFY row_number() OVER (PARTITION BY {key}, job_id ORDER BY a + b DESC, gram) <= {MAX_FEATURES}),
+  {name}_k AS (SELECT *, CASE WHEN a > 0 AND b > 0 THEN 1.0 ELSE ln(3.0 / 2) + 1 END AS idf FROM {name}_u {kept}),
   {name}_s AS (SELECT {key}, job_id, sum(a * idf * b * idf) AS dot, sqrt(sum(a * idf * a * idf)) AS na, sqrt(sum(b * idf * b * idf)) AS nb
     FROM {name}_k GROUP BY {key}, job_id),
   {name} AS (SELECT {key}, job_id, CAST(CASE WHEN na > 0 AND nb > 0 THEN 100 * dot / (na * nb) ELSE 0 END AS DOUBLE) AS tfidf
@@ -93,7 +93,7 @@ def capped_sql(docs, pairs, name, key="doc_id"):
 
 
 CAPPED = (f"{SQL_STOP}, {SQL_PROFILES}, {SQL_TEMPLATES}, {DOC_GRAMS}, {JOB_GRAMS}, {PAIRS_SQL}, "
-          + capped_sql("dg", "pairs", "capped"))
+          + pairs_sql("dg", "pairs", "capped", most=MAX_FEATURES))
 
 
 def tfidf_capped(spark, d):
@@ -127,7 +127,7 @@ FROM embeddings JOIN reps USING (label)"""
 
 def section_similarity(spark, d):
     slices = sec.long_form(sec.with_slices(profiles(spark, d)), "slices")
-    scored = sim.section_similarity(slices, category_pairs(spark, d), job_grams(spark, d), STOP_WORDS, MAX_FEATURES)
+    scored = sim.section_similarity(slices, category_pairs(spark, d), job_grams(spark, d), STOP_WORDS)
     return scored.withColumn("score", F.round("score", DIGITS))
 
 
@@ -136,7 +136,7 @@ SQL["section_similarity"] = f"""WITH {SQL_STOP}, {SQL_PROFILES}, {SQL_TEMPLATES}
   parts AS (SELECT doc_id || '/' || section AS part, doc_id, section, text FROM slices WHERE trim(text) <> ''),
   {grams_sql('parts', 'part', 'pg')},
   part_pairs AS (SELECT part, job_id FROM parts JOIN pairs USING (doc_id)),
-  {capped_sql('pg', 'part_pairs', 'scored', 'part')}
+  {pairs_sql('pg', 'part_pairs', 'scored', 'part')}
 SELECT doc_id, job_id, section, round(tfidf, {DIGITS}) AS score FROM scored JOIN parts USING (part)"""
 
 
@@ -190,7 +190,8 @@ SQL["fit_level"] = f"WITH {SCORES} SELECT doc_id, job_id, {FIT_SQL} AS fit_level
 
 
 def match_matrix(spark, d):
-    grid = mt.full_grid(scores(spark, d), profiles(spark, d), jobs(spark, d))
+    listed = [r.job_id for r in jobs(spark, d).select("job_id").limit(mt.MOST_JOBS + 1).collect()]
+    grid = mt.full_grid(scores(spark, d), profiles(spark, d), listed)
     return grid.withColumn("score", F.round("score", DIGITS))
 
 
@@ -202,10 +203,12 @@ FROM profiles p CROSS JOIN jobs j LEFT JOIN scores s ON s.doc_id = p.doc_id AND
 
 def best_match(spark, d):
     rounded = scores(spark, d).withColumn("score", F.round("score", DIGITS))
-    return mt.best_job(rounded).select("doc_id", "job_id", "score")
+    return mt.best_of_all(rounded, profiles(spark, d), jobs(spark, d))
 
 
-BEST_SQL = f"""best AS (SELECT doc_id, job_id, round(score, {DIGITS}) AS score FROM scores
-    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, {DIGITS}) DESC, job_id) = 1)"""
+BEST_SQL = f"""found AS (SELECT doc_id, job_id, round(score, {DIGITS}) AS score FROM scores
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, {DIGITS}) DESC, job_id) = 1),
+  best AS (SELECT doc_id, coalesce(job_id, (SELECT min(job_id) FROM jobs)) AS job_id, coalesce(score, 0) AS score
+    FROM profiles LEFT JOIN found USING (doc_id))"""
 QUERIES["best_match"] = best_match
 SQL["best_match"] = f"WITH {SCORES}, {BEST_SQL} SELECT doc_id, job_id, score FROM best"
