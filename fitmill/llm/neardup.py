@@ -6,11 +6,15 @@ of BANDS * ROWS samples takes from a document one shingle and a quantised weight
 with the probability of their weighted Jaccard similarity. Documents that agree in all samples of a band are
 candidates; those whose exact similarity is 0.8 or more are linked, and classes are the connected components.
 
-Copies with equal words are one node from the start. Of a band's bucket only pairs with its leader, the least
-node, are verified; nodes that the leader isn't like stay and get a leader of their own in the next round, until
-no bucket holds two. So a bucket of n nodes alike costs n pairs, never n squared, and rounds go on as long as
-buckets hold different groups. Two linked nodes that meet in one bucket but follow different leaders there can
-still meet in the other bands; a pair at 0.8 shares a band with probability 0.99995.
+Inverse frequencies are damped (weights differ by a quarter at most), lest a group of thousands of copies make its
+own shingles worthless and the one word that a copy changed decisive.
+
+Copies with equal words are one node from the start. Of a bucket of at most FEW nodes all pairs are verified. Of
+a larger one only pairs with its leader, the least node, are; nodes that the leader isn't like wait for the next
+round, in which the samples of one more band part them into smaller buckets with leaders of their own, until none
+wait. So a bucket of n nodes alike costs n pairs, never n squared. Two linked nodes that meet in one large bucket
+but follow different leaders there can still meet in the other bands; a pair at 0.8 shares a band with
+probability 0.99995, and half of the bands on average.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from fitmill.llm.substring_dedup import symbols
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 14, 3
 BUCKETS = 1 << 18
+#: Share of a weight that the inverse document frequency moves, and nodes of a bucket that are paired with each other.
+DAMPING, FEW = 0.25, 6
 
 
 # one document ------------------------------------------------------------------------
@@ -94,7 +100,7 @@ def _bytes(text: str | None) -> bytes:
 # jobs --------------------------------------------------------------------------------
 
 def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Inverse document frequency of each hashed bin, 1 at least, and the number of documents.
+    """Damped inverse document frequency of each hashed bin, from 1 to 1 + DAMPING, and the number of documents.
 
     Each task adds up its documents, so it sends one row a bin; the driver gets BUCKETS numbers.
     """
@@ -111,7 +117,8 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     rows = docs.select("text").mapInArrow(part, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(BUCKETS + 1)
     counts[[r["bin"] for r in rows]] = [r["n"] for r in rows]
-    return np.log((1 + counts[-1]) / (1 + np.minimum(counts[:-1], counts[-1]))) + 1, int(counts[-1])
+    rare = np.log((1 + counts[-1]) / (1 + np.minimum(counts[:-1], counts[-1]))) / np.log(2 + counts[-1])
+    return 1 + DAMPING * rare, int(counts[-1])
 
 
 def _weighted(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,31 +164,36 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame, idf: Broadcast) -> list[DataFrame]:
     """Tables of verified pairs (a, b), one a round; nodes has node, doc_id, text_key and bands."""
-    waiting = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    waiting = nodes.select("node", "bands", F.posexplode("bands").alias("band", "key"))
     rounds: list[DataFrame] = []
     texts = None
     while True:
-        leaders = written(waiting.groupBy("band", "key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n"))
-                          .where("n > 1").drop("n"))
-        led = written(waiting.join(leaders, ["band", "key"]).where("node <> a").withColumnRenamed("node", "b"))
-        pairs = led.select("a", "b").distinct()
+        buckets = written(waiting.groupBy("band", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+        rows = written(waiting.join(buckets, ["band", "key"]))
+        few = rows.where(F.col("n") <= FEW).select("band", "key", "node")
+        each = (few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), ["band", "key"])
+                .where("a < b").select("a", "b"))  # of FEW rows a key at most
+        led = rows.where((F.col("n") > FEW) & (F.col("node") > F.col("least")))
+        pairs = each.unionByName(led.select(F.col("least").alias("a"), F.col("node").alias("b"))).groupBy("a", "b").agg(F.lit(1).alias("_"))
+        pairs = pairs.drop("_")
         for done in rounds:  # other bands may have had the pair
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         pairs = written(pairs)
-        if texts is None:  # later rounds pair the same nodes
-            wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-            rows = written(nodes.join(wanted, "node").select("node", "doc_id", "text_key"))
-            same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_key") == F.col("r.text_key"))
-            texts = written(docs.alias("d").join(rows.alias("r"), same).select("r.node", "d.text")
-                            .dropDuplicates(["node"]))
         if pairs.isEmpty():
             return rounds
+        if texts is None:  # later rounds pair the same nodes
+            wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
+            mine = written(nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "text_key"))
+            same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_key") == F.col("r.text_key"))
+            texts = written(docs.alias("d").join(mine.alias("r"), same).groupBy("r.node").agg(F.first("d.text").alias("text")))
         rounds.append(written(_verified(pairs, texts, idf)))
         alike = rounds[0]
         for more in rounds[1:]:
             alike = alike.unionByName(more)
-        left = led.join(alike.where("similar").select("a", "b"), ["a", "b"], "left_anti")
-        waiting = written(left.select(F.col("b").alias("node"), "band", "key"))
+        alike = alike.where("similar").select(F.col("a").alias("least"), F.col("b").alias("node"))
+        left = led.join(alike, ["least", "node"], "left_anti")
+        finer = F.xxhash64("key", F.get("bands", (F.col("band") + len(rounds)) % BANDS))
+        waiting = written(left.select("node", "bands", "band", finer.alias("key")))
 
 
 def components(edges: DataFrame) -> DataFrame:
