@@ -45,7 +45,7 @@ DAMPING, FEW = 0.25, 6
 
 def shingles(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and counts of the distinct shingles of a text; fewer than five words are one shingle."""
-    words = symbols(data)
+    words, _ = symbols([data])
     if not len(words):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     return np.unique(mixed(Hashes(words).all(min(SHINGLE, len(words)))), return_counts=True)

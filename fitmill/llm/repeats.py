@@ -33,6 +33,8 @@ from fitmill.llm.shared import text_key, written
 
 #: Stretches in a bucket, about, and of one hash in it, at most about.
 BUCKET, OF_ONE_HASH = 4096, 1024
+#: Bytes of text that are hashed at once, about, and rows that are sent at once.
+CHUNK, SENT = 1 << 17, 4096
 _BASE, _OTHER = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
@@ -85,22 +87,31 @@ class Kind:
 
     length: int
     piece: int
-    symbols: Callable[[bytes], np.ndarray]  # of a text
+    symbols: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]  # of texts in a row, and where each ends
     content: Callable[[bytes, list[tuple[int, int]]], list[bytes]]  # of ranges of symbols
-    repeats: Callable[[list[bytes]], list[np.ndarray]]  # of contents in corpus order: masks of repeated windows
+    repeats: Callable[[list[bytes], np.ndarray], list[np.ndarray]]  # of contents in corpus order, with their hashes: masks
     digests: Callable[[bytes, np.ndarray], list[bytes]]  # of windows of a content
 
 
-def stretches(symbols: np.ndarray, length: int, piece: int) -> tuple[np.ndarray, ...]:
-    """Of each stretch of a document: hash, hash of its content, first window, windows, whether the hash is in it twice."""
+def stretches(symbols: np.ndarray, ends: np.ndarray, length: int, piece: int) -> tuple[np.ndarray, ...]:
+    """Of each stretch of documents in a row: document, hash, hash of content, first window, windows, hash in it twice.
+
+    ends says where each document ends; windows don't cross it, and first windows count from its beginning.
+    """
     width = length - piece + 1
     if len(symbols) < length:
-        return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, bool))
-    one = Hashes(symbols)
-    h = mixed(one.all(piece))
-    least = _over(h, width, np.minimum)
-    begin = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    end = np.append(begin[1:], len(least))
+        return tuple(np.empty(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, bool))
+    starts = np.concatenate(([0], ends[:-1]))
+    document = np.repeat(np.arange(len(ends)), ends - starts)[:len(symbols) - length + 1]
+    whole = np.arange(len(document)) + length <= ends[document]
+    h = mixed(Hashes(symbols).all(piece))
+    least = np.where(whole, _over(h, width, np.minimum), np.uint64(0))
+    new = np.concatenate(([True], (least[1:] != least[:-1]) | (document[1:] != document[:-1])))
+    begin = np.flatnonzero(new & whole)
+    if not len(begin):
+        return stretches(symbols[:0], ends[:0], length, piece)
+    of = document[begin]
+    end = np.minimum(np.append(begin[1:], len(least)), ends[of] - length + 1)
     # places of least pieces: those whose hash is the largest of the least ones of the windows around it
     padded = np.concatenate((np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)))
     places = np.flatnonzero(h == _over(padded, width, np.maximum))
@@ -110,7 +121,20 @@ def stretches(symbols: np.ndarray, length: int, piece: int) -> tuple[np.ndarray,
     within = places[np.arange(sizes.sum()) - np.repeat(firsts - low, sizes)]
     twice = np.add.reduceat((h[within] == np.repeat(least[begin], sizes)).astype(np.int64), firsts) > 1
     other = Hashes(symbols, _OTHER).of(begin, end - 1 + length)
-    return least[begin], mixed(other ^ (end - begin).astype(np.uint64)), begin, end - begin, twice
+    return of, least[begin], mixed(other ^ (end - begin).astype(np.uint64)), begin - starts[of], end - begin, twice
+
+
+def _chunks(texts: list[str | None]) -> Iterator[list[bytes]]:
+    """Texts in UTF-8, some at a time, so that arrays are long enough to be worth their call and fit a cache."""
+    held, size = [], 0
+    for text in texts:
+        held.append((text or "").encode())
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _marks(docs: DataFrame, kind: Kind) -> DataFrame:
@@ -118,16 +142,16 @@ def _marks(docs: DataFrame, kind: Kind) -> DataFrame:
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, rows = [], []
-            for text in batch.column("text"):
-                found.append(stretches(kind.symbols((text.as_py() or "").encode()), kind.length, kind.piece))
-                rows.append(len(found[-1][0]))
-            if sum(rows):
-                h, content, place, n, twice = (np.concatenate(c) for c in zip(*found))
-                at = pa.array(np.repeat(np.arange(len(rows)), rows))
+            found, first = [], 0
+            for chunk in _chunks(batch.column("text").to_pylist()):
+                of, *rest = stretches(*kind.symbols(chunk), kind.length, kind.piece)
+                found.append((of + first, *rest))
+                first += len(chunk)
+            if found:
+                at, h, content, place, n, twice = (np.concatenate(c) for c in zip(*found))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), batch.column("doc_id").take(at),
-                     batch.column("text_key").take(at), pa.array(place), pa.array(2 * n + twice)], names)
+                    [pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), batch.column("doc_id").take(pa.array(at)),
+                     batch.column("text_key").take(pa.array(at)), pa.array(place), pa.array(2 * n + twice)], names)
 
     return docs.mapInArrow(part, ", ".join(f"{c} long" for c in names))
 
@@ -164,7 +188,7 @@ def repeats(docs: DataFrame, kind: Kind) -> DataFrame:
     parts = F.ceil(F.col("times") / OF_ONE_HASH)
     todo = todo.withColumn("bucket", F.pmod(F.xxhash64("hash", F.pmod(F.col("content"), parts)), F.lit(n_buckets)))
     lists = todo.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(
-        "bucket", (parts > 1).alias("parted"), "place", F.floor(F.col("n") / 2).cast("long").alias("n"))).alias("todo"))
+        "bucket", "hash", (parts > 1).alias("parted"), "place", F.floor(F.col("n") / 2).cast("long").alias("n"))).alias("todo"))
     texts = docs.alias("d").join(lists.alias("l"), _row_is("d", "l")).select("d.doc_id", "d.text_key", "d.text", "l.todo")
     compared = written(_compared(texts, kind))
     sure = compared.where("digest IS NULL").drop("digest")
@@ -179,26 +203,34 @@ def repeats(docs: DataFrame, kind: Kind) -> DataFrame:
 
 def _compared(texts: DataFrame, kind: Kind) -> DataFrame:
     """Cuts stretches out of texts and compares those of a bucket: ranges of repeats, or windows to compare by digest."""
-    names = ["bucket", "parted", "doc_id", "text_key", "place", "content"]
+    names = ["bucket", "hash", "parted", "doc_id", "text_key", "place", "content"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                doc_id, key = batch.column("doc_id")[k].as_py(), batch.column("text_key")[k].as_py()
-                todo = batch.column("todo")[k].as_py()
-                content = kind.content((batch.column("text")[k].as_py() or "").encode(),
-                                       [(t["place"], t["place"] + t["n"] - 1 + kind.length) for t in todo])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([t["bucket"] for t in todo], pa.int64()), pa.array([t["parted"] for t in todo], pa.bool_()),
-                     pa.array([doc_id] * len(todo), pa.int64()), pa.array([key] * len(todo), pa.int64()),
-                     pa.array([t["place"] for t in todo], pa.int64()), pa.array(content, pa.binary())], names)
+            rows = batch.column("todo")
+            counts = rows.value_lengths().to_numpy(zero_copy_only=False)
+            todo = rows.flatten()
+            place, n = todo.field("place").to_numpy(), todo.field("n").to_numpy()
+            begins = np.concatenate(([0], np.cumsum(counts)))
+            contents, sent, first = [], 0, 0
+            for k, text in enumerate(batch.column("text")):
+                some = slice(begins[k], begins[k + 1])
+                ranges = zip(place[some].tolist(), (place[some] + n[some] - 1 + kind.length).tolist())
+                contents += kind.content((text.as_py() or "").encode(), list(ranges))
+                if len(contents) >= SENT or k + 1 == batch.num_rows:
+                    at = pa.array(np.repeat(np.arange(first, k + 1), counts[first:k + 1]))
+                    fields = [todo.field(c).slice(sent, len(contents)) for c in ("bucket", "hash", "parted", "place")]
+                    yield pa.RecordBatch.from_arrays(
+                        [*fields[:3], batch.column("doc_id").take(at), batch.column("text_key").take(at), fields[3],
+                         pa.array(contents, pa.binary())], names)
+                    sent, first, contents = sent + len(contents), k + 1, []
 
     def compare(table: pa.Table) -> pa.Table:
         # in corpus order; rows of the same place are the same window of repeated rows, and one is enough
         rows = sorted({((r["doc_id"] is not None, r["doc_id"] or 0), r["text_key"], r["place"]): r
                        for r in table.to_pylist()}.items())
         rows = [r for _, r in rows]
-        masks = kind.repeats([r["content"] for r in rows])
+        masks = kind.repeats([r["content"] for r in rows], np.array([r["hash"] for r in rows], np.int64))
         out = []
         for r, mask in zip(rows, masks):
             edges = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0))
@@ -211,7 +243,7 @@ def _compared(texts: DataFrame, kind: Kind) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "text_key", "place", "n", "digest"])
 
-    cuts = texts.mapInArrow(cut, "bucket long, parted boolean, doc_id long, text_key long, place long, content binary")
+    cuts = texts.mapInArrow(cut, "bucket long, hash long, parted boolean, doc_id long, text_key long, place long, content binary")
     return cuts.groupBy("bucket").applyInArrow(compare, "doc_id long, text_key long, place long, n long, digest binary")
 
 

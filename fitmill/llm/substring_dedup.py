@@ -33,12 +33,13 @@ def spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at[::2], at[1::2]
 
 
-def symbols(data: bytes) -> np.ndarray:
-    """A 64-bit number for each word."""
+def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit number for each word of texts in a row, and the number of words up to the end of each text."""
+    data = b" ".join(texts)
     begin, end = spans(data)
-    if not len(begin):
-        return np.empty(0, np.uint64)
-    return mixed(Hashes(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)).of(begin, end))
+    bytes_ = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
+    numbers = mixed(Hashes(bytes_).of(begin, end)) if len(begin) else np.empty(0, np.uint64)
+    return numbers, np.searchsorted(begin, np.cumsum([len(t) + 1 for t in texts]))
 
 
 def content(data: bytes, ranges: list[tuple[int, int]]) -> list[bytes]:
@@ -47,8 +48,8 @@ def content(data: bytes, ranges: list[tuple[int, int]]) -> list[bytes]:
     return [b" ".join(data[b:e].split()) for b, e in ((begin[f], end[t - 1]) for f, t in ranges)]
 
 
-def repeated_windows(contents: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For contents in corpus order: a mask of the windows of each that occur at an earlier window."""
+def repeated_windows(contents: list[bytes], groups: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """For contents in corpus order: a mask of the windows of each that occur at an earlier window, of any group."""
     automaton, number, masks = Automaton(), {}, []
     for words in map(bytes.split, contents):
         earlier = automaton.add([number.setdefault(w, len(number)) for w in words])

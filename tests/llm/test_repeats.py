@@ -78,13 +78,33 @@ def test_stretches_cover_all_windows():
     for t in range(150):
         x = bytes(draw.choices(b"abc" if t % 3 else b"ab", k=draw.randrange(90, 700)))
         x += b"xyz " * 200 if t % 7 == 0 else b"a" * 500 if t % 5 == 0 else b""
-        _, _, place, n, twice = repeats.stretches(suffix_dedup.symbols(x), 100, 20)
+        _, _, _, place, n, twice = repeats.stretches(*suffix_dedup.symbols([x]), 100, 20)
         assert n.sum() == max(0, len(x) - 99) and (np.cumsum(n) - n == place).all()
         for p, m, flag in zip(place, n, twice):
             windows = [x[k:k + 100] for k in range(p, p + m)]
             assert flag or len(set(windows)) == len(windows)
 
 
+def test_stretches_of_documents_in_a_row():
+    draw = random.Random(8)
+    texts = [b"".join(draw.choice([b"ab ", b"c", b"de "]) for _ in range(draw.choice([0, 3, 60, 400]))) for _ in range(60)]
+    for kind in (suffix_dedup.KIND, substring_dedup.KIND):
+        of, *together = repeats.stretches(*kind.symbols(texts), kind.length, kind.piece)
+        for k, text in enumerate(texts):
+            alone = repeats.stretches(*kind.symbols([text]), kind.length, kind.piece)[1:]
+            assert [c[of == k].tolist() for c in together] == [c.tolist() for c in alone]
+
+
+def test_sort_within_groups():
+    draw = random.Random(9)
+    data = bytes(draw.choices(b"ab", k=3000))
+    places = np.array(draw.sample(range(2900), 1200))
+    groups = np.sort(np.array(draw.choices(range(40), [k * k for k in range(1, 41)], k=1200)))
+    out = suffix_dedup.Suffixes(data, 100).sorted(places, groups)
+    for g in range(40):
+        assert out[groups == g].tolist() == sorted(places[groups == g].tolist(), key=lambda p: (data[p:p + 100], p))
+
+
 @pytest.mark.parametrize("repeated", [suffix_dedup.repeated_windows, substring_dedup.repeated_windows])
 def test_buckets(repeated):
     draw = random.Random(6)
@@ -99,7 +119,7 @@ def test_buckets(repeated):
             rows.append(" ".join(piece).encode())
         split = [r.split() if repeated is substring_dedup.repeated_windows else r for r in rows]
         size, seen = (20 if repeated is substring_dedup.repeated_windows else 100), set()
-        for x, mask in zip(split, repeated(rows)):
+        for x, mask in zip(split, repeated(rows, np.zeros(6, np.int64))):
             want = []
             for k in range(len(x) - size + 1):
                 w = repr(x[k:k + size])
@@ -111,5 +131,5 @@ def test_buckets(repeated):
 def test_hash_collisions_fall_back_to_bytes(monkeypatch):
     monkeypatch.setattr(suffix_dedup.Hashes, "of", lambda self, a, b: np.zeros(len(a), np.uint64))
     x, y = b"a" * 60 + b"b" * 60, b"c" * 120
-    masks = suffix_dedup.repeated_windows([x, y, x])
+    masks = suffix_dedup.repeated_windows([x, y, x], np.zeros(3, np.int64))
     assert [m.tolist() for m in masks[::2]] == [[False] * 21, [True] * 21] and masks[1].tolist() == [False] + [True] * 20
