@@ -37,6 +37,8 @@ from fitmill.llm.substring_dedup import symbols
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 14, 3
 BUCKETS = 1 << 18
+#: Shingles that are sampled at once.
+AT_ONCE = 2048
 #: Share of a weight that the inverse document frequency moves, and nodes of a bucket that are paired with each other.
 DAMPING, FEW = 0.25, 6
 
@@ -66,15 +68,19 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def samples(h: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """One number for each sample: the shingle taken, with its quantised weight."""
     r_table, c_table, salts = _draws()
-    log_weight, out = np.log(weights), np.empty(len(salts), np.uint64)
-    for k, salt in enumerate(salts):
-        m = mixed(h ^ salt)
-        r = r_table[(m & np.uint64(0xFFFF)).astype(np.int64)]
-        beta = (m >> np.uint64(32)).astype(np.float64) / 2**32
-        t = np.floor(log_weight / r + beta)
-        log_a = c_table[((m >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64)] - r * (t - beta + 1)
-        at = int(np.argmin(log_a))
-        out[k] = h[at] ^ np.uint64(int(t[at]) & 0xFFFF) << np.uint64(48)
+    log_weight = np.log(weights)[:, None]
+    least, out, every = np.full(len(salts), np.inf), np.zeros(len(salts), np.uint64), np.arange(len(salts))
+    for k in range(0, len(h), AT_ONCE):
+        some = h[k:k + AT_ONCE]
+        m = mixed(some[:, None] ^ salts)
+        r = r_table[m & np.uint64(0xFFFF)]
+        beta = (m >> np.uint64(32)) * 2.0**-32
+        t = np.floor(log_weight[k:k + AT_ONCE] / r + beta)
+        log_a = c_table[m >> np.uint64(16) & np.uint64(0xFFFF)] - r * (t - beta + 1)
+        at = log_a.argmin(0)
+        low = log_a[at, every]
+        taken = some[at] ^ (t[at, every].astype(np.int64) & 0xFFFF).astype(np.uint64) << np.uint64(48)
+        out, least = np.where(low < least, taken, out), np.minimum(low, least)
     return mixed(out)
 
 
