@@ -29,7 +29,7 @@ from workload.matching import (
     COSINE_SQL, DIGITS, DOC_GRAMS, EXTRA, FIT_SQL, JOB_GRAMS, LISTS_SQL, MATCHED, MISSING, OVERLAP_SQL, PAIRS_SQL,
     SCORES, BEST_SQL, best_match, pairs_sql, category_pairs, doc_grams, doc_sets, job_grams, vectors,
 )
-from workload.sections import TITLES_SQL, strings_sql
+from workload.sections import PROFILE_COLUMNS, PROFILE_SQL, TITLES_SQL, joined_map, lists_sql, profile_columns, strings_sql
 from workload.text import SP, repair_sql, words_sql
 
 QUERIES, SQL = {}, {}
@@ -47,14 +47,15 @@ def full_analysis(spark, d):
     p, j, t = profiles(spark, d), jobs(spark, d), taxonomy(spark)
     # the analysis reads the pairs several times: rank once and keep the short result
     pairs = cut_lineage(an.best_pairs(p, j, t), "best-pairs")
-    return an.full_analysis(pairs, p, j, t, STOP_WORDS)
+    return an.full_analysis(pairs, p, j, t, STOP_WORDS, spans=spans(spark, d))
 
 
 def analysis_rows(spark, d):
     out = full_analysis(spark, d).select(
         "doc_id", "job_id", "job_title", "word_count", "overall_score", "tfidf", "f1", "fit_level",
         *[F.array_join(c, "|").alias(c) for c in ("matched", "missing", "extra", "recommendations", "suggestions")],
-        "intro")
+        "intro", joined_map(F.col("doc_terms_by_category")).alias("doc_by_category"),
+        joined_map(F.col("terms_by_category")).alias("job_by_category"), *profile_columns())
     return rounded(out, "overall_score", "tfidf", "f1")
 
 
@@ -97,18 +98,22 @@ RECS_SQL = f"""array_to_string(list_filter([{FIT_SENTENCE},
 SUGGEST_SQL = """array_to_string(list_filter([
     CASE WHEN len(missing) > 0 THEN 'Keywords to consider adding (if applicable): ' || array_to_string(missing[1:5], ', ') END,
     CASE WHEN len(extra) > 0 THEN 'Unique skills to highlight: ' || array_to_string(extra[1:3], ', ') END], lambda s: s IS NOT NULL), '|')"""
+RECORDS = f"{lists_sql('hits', 'doc_id')}, {lists_sql('job_hits', 'job_id')}, {PROFILE_SQL}"
 ANALYSIS = f"""{HITS}, {BEST_PAIRS_SQL}, {PAIR_LISTS_SQL}, {GAP_SQL}, {TECH_SQL}, {TITLES_SQL}, {SQL_STOP}, {DOC_GRAMS}, {JOB_GRAMS},
   {pairs_sql('dg', 'pairs', 'capped')},
   scored AS (SELECT l.*, c.tfidf, coalesce(o.f1, 0) AS f1, c.tfidf * CAST(0.3 AS DOUBLE) + coalesce(o.f1, 0) * 100 * CAST(0.7 AS DOUBLE) AS score
     FROM lists l JOIN capped c USING (doc_id, job_id) LEFT JOIN overlap o USING (doc_id, job_id))"""
 QUERIES["full_analysis"] = analysis_rows
-SQL["full_analysis"] = f"""WITH {ANALYSIS}
+SQL["full_analysis"] = f"""WITH {ANALYSIS}, {RECORDS}
 SELECT s.doc_id, s.job_id, coalesce(title, 'Position') AS job_title, {words_sql('p.text')} AS word_count,
   round(score, {DIGITS}) AS overall_score, round(tfidf, {DIGITS}) AS tfidf, round(f1, {DIGITS}) AS f1, {FIT_SQL} AS fit_level,
   array_to_string(s.matched, '|') AS matched, array_to_string(missing, '|') AS missing, array_to_string(extra, '|') AS extra,
   {RECS_SQL.replace('matched', 's.matched')} AS recommendations, {SUGGEST_SQL} AS suggestions,
-  {_intro_sql().replace('len(matched)', 'len(s.matched)')} AS intro
-FROM scored s JOIN profiles p USING (doc_id) JOIN tops t ON t.doc_id = s.doc_id LEFT JOIN gap g ON g.doc_id = s.doc_id LEFT JOIN jt ON jt.job_id = s.job_id"""
+  {_intro_sql().replace('len(matched)', 'len(s.matched)')} AS intro,
+  coalesce(hm.by_category, '') AS doc_by_category, coalesce(jm.by_category, '') AS job_by_category, {PROFILE_COLUMNS}
+FROM scored s JOIN profiles p USING (doc_id) JOIN tops t ON t.doc_id = s.doc_id LEFT JOIN gap g ON g.doc_id = s.doc_id LEFT JOIN jt ON jt.job_id = s.job_id
+  LEFT JOIN hits_map hm ON hm.doc_id = s.doc_id LEFT JOIN job_hits_map jm ON jm.job_id = s.job_id
+  LEFT JOIN profile_facts pf ON pf.doc_id = s.doc_id"""
 
 QUERIES["recommendations"] = lambda spark, d: full_analysis(spark, d).select(
     "doc_id", F.array_join("recommendations", "|").alias("recommendations"))
