@@ -68,11 +68,17 @@ def overall(scored: DataFrame) -> DataFrame:
     return summary(scored).filter("_total = 1").drop("_total", "category")
 
 
-def by_category(scored: DataFrame) -> DataFrame:
+def by_category(scored: DataFrame, k: int = 10) -> DataFrame:
+    """Means, fit levels and the ``k`` most common terms of each category's successful documents."""
     kept = ["category", "successful_samples", "avg_skills_extracted", "avg_overall_score", "avg_skill_f1"]
+    top = (
+        top_terms_by_category(scored.filter("success").select("category", "terms"), k)
+        .groupBy("category").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).getField("term").alias("top_terms"))
+    )
     return (
         summary(scored).filter("_total = 0 AND successful_samples > 0")
         .select(*kept, *[level.lower() for level in LEVELS]).withColumnRenamed("successful_samples", "sample_count")
+        .join(top, "category", "left").withColumn("top_terms", F.coalesce("top_terms", F.array().cast("array<string>")))
     )
 
 

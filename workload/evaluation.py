@@ -292,10 +292,16 @@ SQL["eval_overall"] = f"""WITH {SCORED} SELECT count(*) AS total_samples, count(
   """ + ", ".join(f"round(avg({m if m != 'overall_score' else 'score'}), {DIGITS}) AS avg_{m}" for m in MEANS) \
     + f", {LEVEL_COUNTS} FROM levels"
 QUERIES["eval_by_category"] = lambda spark, d: rounded(
-    cp.by_category(scored_corpus(spark, d)), "avg_skills_extracted", "avg_overall_score", "avg_skill_f1")
-SQL["eval_by_category"] = f"""WITH {SCORED} SELECT category, count(*) AS sample_count,
+    cp.by_category(cut_lineage(scored_corpus(spark, d), "scored-corpus")).withColumn("top_terms", F.array_join("top_terms", "|")),
+    "avg_skills_extracted", "avg_overall_score", "avg_skill_f1")
+SQL["eval_by_category"] = f"""WITH {SCORED},
+  counted_terms AS (SELECT category, term, count(*) AS n FROM (SELECT category, unnest(terms) AS term FROM levels) GROUP BY category, term
+    QUALIFY row_number() OVER (PARTITION BY category ORDER BY count(*) DESC, term) <= 10),
+  top AS (SELECT category, string_agg(term, '|' ORDER BY n DESC, term) AS top_terms FROM counted_terms GROUP BY category)
+SELECT category, count(*) AS sample_count,
   round(avg(skills_extracted), {DIGITS}) AS avg_skills_extracted, round(avg(score), {DIGITS}) AS avg_overall_score,
-  round(avg(skill_f1), {DIGITS}) AS avg_skill_f1, {LEVEL_COUNTS} FROM levels GROUP BY category"""
+  round(avg(skill_f1), {DIGITS}) AS avg_skill_f1, {LEVEL_COUNTS}, coalesce(any_value(top_terms), '') AS top_terms
+FROM levels LEFT JOIN top USING (category) GROUP BY category"""
 QUERIES["fit_distribution"] = lambda spark, d: rounded(cp.fit_distribution(scored_corpus(spark, d)), "share")
 SQL["fit_distribution"] = f"""WITH {SCORED} SELECT fit_level, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), {DIGITS}) AS share
 FROM levels GROUP BY fit_level"""
