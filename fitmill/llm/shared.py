@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fitmill.session import new_path
+
 #: One word: a run without space, tab, line feed, vertical tab, form feed or carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,14 +15,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 def workspace(spark: SparkSession) -> str:
     """A new folder's address under `spark.checkpoint.dir`, which all executors share.
 
-    Only where the setting is empty (a local session, as in tests) a temporary folder is set.
     What is written there stays until the caller removes it or the session's folder goes.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="fitmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/fitmill-{uuid.uuid4().hex}"
+    return new_path(spark, "fitmill")
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -44,4 +38,6 @@ def text_key(text: str | Column = "text") -> Column:
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of an address that a task reads or writes whole files in, and the path in it."""
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    if "://" not in uri:  # a path, or a URI of a local one as Spark writes it
+        uri = f"file://{uri.removeprefix('file:')}"
+    return fs.FileSystem.from_uri(uri)
