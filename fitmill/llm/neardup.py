@@ -163,14 +163,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
                 like.append(similarity(of_last, _weighted(batch.column("text_b")[k].as_py(), idf.value)) >= SIMILAR)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(like, pa.bool_())], ["a", "b", "similar"])
 
-    both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"))
+    # pairs and texts grow with the corpus, so the plan for large ones is the plan for all
+    both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a"))
     return both.select("a", "b", "text_a", "text_b").mapInArrow(part, "a binary, b binary, similar boolean")
 
 
 def links(docs: DataFrame, nodes: DataFrame, idf: Broadcast) -> list[DataFrame]:
     """Tables of verified pairs (a, b), one a round; nodes has node, doc_id, text_key and bands."""
-    waiting = nodes.select("node", "bands", F.posexplode("bands").alias("band", "key"))
+    waiting = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     rounds: list[DataFrame] = []
     texts = None
     while True:
@@ -191,7 +192,7 @@ def links(docs: DataFrame, nodes: DataFrame, idf: Broadcast) -> list[DataFrame]:
             wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
             mine = written(nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "text_key"))
             same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_key") == F.col("r.text_key"))
-            texts = written(docs.alias("d").join(mine.alias("r"), same).groupBy("r.node").agg(F.first("d.text").alias("text")))
+            texts = written(docs.alias("d").join(mine.alias("r").hint("merge"), same).groupBy("r.node").agg(F.first("d.text").alias("text")))
         rounds.append(written(_verified(pairs, texts, idf)))
         alike = rounds[0]
         for more in rounds[1:]:
@@ -199,7 +200,7 @@ def links(docs: DataFrame, nodes: DataFrame, idf: Broadcast) -> list[DataFrame]:
         alike = alike.where("similar").select(F.col("a").alias("least"), F.col("b").alias("node"))
         left = led.join(alike, ["least", "node"], "left_anti")
         finer = F.xxhash64("key", F.get("bands", (F.col("band") + len(rounds)) % BANDS))
-        waiting = written(left.select("node", "bands", "band", finer.alias("key")))
+        waiting = written(left.join(nodes.select("node", "bands"), "node").select("node", "band", finer.alias("key")))
 
 
 def components(edges: DataFrame) -> DataFrame:
