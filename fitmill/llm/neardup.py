@@ -10,11 +10,13 @@ Inverse frequencies are damped (weights differ by a quarter at most), lest a gro
 own shingles worthless and the one word that a copy changed decisive.
 
 Copies with equal words are one node from the start. Of a bucket of at most FEW nodes all pairs are verified. Of
-a larger one only pairs with its leader, the least node, are; nodes that the leader isn't like wait for the next
-round, in which the samples of one more band part them into smaller buckets with leaders of their own, until none
-wait. So a bucket of n nodes alike costs n pairs, never n squared. Two linked nodes that meet in one large bucket
-but follow different leaders there can still meet in the other bands; a pair at 0.8 shares a band with
-probability 0.99995, and half of the bands on average.
+a larger one only pairs with its leader, the least node, are at first, so a bucket of n nodes that are all like one
+costs n pairs, never n squared. Buckets whose nodes aren't one component then are settled exactly: two texts at 0.8
+or more share a shingle of their prefixes (the rarest shingles of each, as far as those behind weigh less than 0.8
+of all), so the buckets' nodes are grouped by prefix shingle. Each group of more than one component gets a hub, its
+node with the most links, for LEADERS rounds; of groups that still hold several components, every pair of different
+ones is verified, dealt out in blocks. So each pair that shares a bucket is verified, unlike by prefix or weight, or
+in one component already. A pair at 0.8 shares a band with probability 0.99995.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ BUCKETS = 1 << 18
 AT_ONCE = 2048
 #: Share of a weight that the inverse document frequency moves, and nodes of a bucket that are paired with each other.
 DAMPING, FEW = 0.25, 6
+#: Rounds of hubs before all pairs of different components, and nodes of a group that one task pairs with the others.
+LEADERS, BLOCK = 3, 256
 
 
 # one document ------------------------------------------------------------------------
@@ -169,38 +173,108 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(part, "a binary, b binary, similar boolean")
 
 
+def _prefixes(texts: DataFrame, idf: Broadcast) -> DataFrame:
+    """node, weight, token: a row for each prefix shingle; similar texts have one in common.
+
+    Behind its prefix a text has less than SIMILAR of its weight. If two prefixes have no shingle in common, all
+    common shingles are behind the prefix that ends first, which is too little to be similar.
+    """
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            weights, tokens = [], []
+            for text in batch.column("text"):
+                h, w = _weighted(text.as_py(), idf.value)
+                order = np.lexsort((h, -idf.value[bins(h)]))
+                up_to = np.cumsum(w[order])
+                most = up_to[-1] * (1 - SIMILAR + 1e-9)
+                tokens.append(h[order[:np.searchsorted(up_to, most, "right") + 1]].view(np.int64))
+                weights.append(float(w.sum()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(weights, pa.float64()), pa.array(tokens, pa.list_(pa.int64()))],
+                ["node", "weight", "tokens"])
+
+    rows = texts.select("node", "text").mapInArrow(part, "node binary, weight double, tokens array<long>")
+    return rows.select("node", "weight", F.explode("tokens").alias("token"))
+
+
+def _united(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _similar(rounds: list[DataFrame]) -> DataFrame:
+    return _united(rounds).where("similar").select("a", "b")
+
+
+def _rooted(rows: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """The rows with the root of each node's component and its number of links."""
+    found = _similar(rounds)
+    degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    known = written(components(found).join(degree, "node"))
+    return (rows.join(known, "node", "left")
+            .withColumn("root", F.coalesce("root", "node")).withColumn("degree", F.coalesce("degree", F.lit(0))))
+
+
+def _new(pairs: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that no round has verified."""
+    pairs = pairs.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
+    for done in rounds:
+        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+    return written(pairs)
+
+
 def links(docs: DataFrame, nodes: DataFrame, idf: Broadcast) -> list[DataFrame]:
     """Tables of verified pairs (a, b), one a round; nodes has node, doc_id, text_key and bands."""
-    waiting = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    rounds: list[DataFrame] = []
-    texts = None
-    while True:
-        buckets = written(waiting.groupBy("band", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"))
-        rows = written(waiting.join(buckets, ["band", "key"]))
-        few = rows.where(F.col("n") <= FEW).select("band", "key", "node")
-        each = (few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), ["band", "key"])
-                .where("a < b").select("a", "b"))  # of FEW rows a key at most
-        led = rows.where((F.col("n") > FEW) & (F.col("node") > F.col("least")))
-        pairs = each.unionByName(led.select(F.col("least").alias("a"), F.col("node").alias("b"))).groupBy("a", "b").agg(F.lit(1).alias("_"))
-        pairs = pairs.drop("_")
-        for done in rounds:  # other bands may have had the pair
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = written(pairs)
-        if pairs.isEmpty():
-            return rounds
-        if texts is None:  # later rounds pair the same nodes
-            wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
-            mine = written(nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "text_key"))
-            same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_key") == F.col("r.text_key"))
-            texts = written(docs.alias("d").join(mine.alias("r").hint("merge"), same).groupBy("r.node").agg(F.first("d.text").alias("text")))
-        rounds.append(written(_verified(pairs, texts, idf)))
-        alike = rounds[0]
-        for more in rounds[1:]:
-            alike = alike.unionByName(more)
-        alike = alike.where("similar").select(F.col("a").alias("least"), F.col("b").alias("node"))
-        left = led.join(alike, ["least", "node"], "left_anti")
-        finer = F.xxhash64("key", F.get("bands", (F.col("band") + len(rounds)) % BANDS))
-        waiting = written(left.join(nodes.select("node", "bands"), "node").select("node", "band", finer.alias("key")))
+    each_band = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    buckets = written(each_band.groupBy("band", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    rows = written(each_band.join(buckets, ["band", "key"]))
+    few = rows.where(F.col("n") <= FEW).select("band", "key", "node")
+    each = (few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), ["band", "key"])
+            .where("a < b").select("a", "b"))  # of FEW rows a key at most
+    large = rows.where(F.col("n") > FEW)
+    led = large.where(F.col("node") > F.col("least")).select(F.col("least").alias("a"), F.col("node").alias("b"))
+    pairs = _new(each.unionByName(led), [])
+    if pairs.isEmpty():
+        return []
+    wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
+    mine = written(nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "text_key"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_key") == F.col("r.text_key"))
+    texts = written(docs.alias("d").join(mine.alias("r").hint("merge"), same).groupBy("r.node").agg(F.first("d.text").alias("text")))
+    rounds = [written(_verified(pairs, texts, idf))]
+
+    # large buckets of more than one component
+    placed = written(_rooted(large.select("band", "key", "node"), rounds))
+    parted = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    left = written(placed.join(parted, ["band", "key"], "left_semi").select("node").distinct())
+    if left.isEmpty():
+        return rounds
+    prefixes = written(_prefixes(texts.join(left.hint("merge"), "node", "left_semi"), idf))
+    for turn in range(LEADERS + 1):
+        placed = written(_rooted(prefixes, rounds))
+        groups = (placed.groupBy("token")
+                  .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m"),
+                       F.max(F.struct("degree", F.xxhash64("node", F.lit(turn)), "node", "root", "weight")).alias("hub"))
+                  .where("low <> high").select("token", "m", F.col("hub.node").alias("a"), F.col("hub.root").alias("root_a"),
+                                               F.col("hub.weight").alias("weight_a")))
+        members = placed.select("token", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("weight").alias("weight_b"))
+        could = ((F.col("root_a") != F.col("root_b"))
+                 & (F.least("weight_a", "weight_b") >= F.greatest("weight_a", "weight_b") * (SIMILAR - 1e-9)))
+        if turn < LEADERS:
+            both = members.join(groups, "token").where(could).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        else:  # what is left: all pairs of different components
+            blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+            second = written(members.join(groups.select("token", "m"), "token"))
+            first = second.select("token", F.col("b").alias("a"), F.col("root_b").alias("root_a"), F.col("weight_b").alias("weight_a"),
+                                  F.pmod(F.xxhash64("b"), blocks).cast("int").alias("block"))
+            second = second.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            both = first.join(second, ["token", "block"]).where(could & (F.col("a") < F.col("b"))).select("a", "b")
+        pairs = _new(both, rounds)
+        if not pairs.isEmpty():
+            rounds.append(written(_verified(pairs, texts, idf)))
+    return rounds
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -232,15 +306,11 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = written(signed.where("node IS NOT NULL").groupBy("node")
                     .agg(F.min(F.struct("doc_id", "text_key", "bands")).alias("f")).select("node", "f.*"))
     found = links(docs, nodes, idf)
-    edges = [e.where("similar").select("a", "b") for e in found]
     members = signed.select("doc_id", "text_key", F.coalesce("node", F.concat(
         F.lit("no words ").cast("binary"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"),
         F.lit(" ").cast("binary"), F.coalesce(F.col("text_key").cast("string"), F.lit("")).cast("binary"))).alias("node"))
-    if edges:
-        united = edges[0]
-        for more in edges[1:]:
-            united = united.unionByName(more)
-        members = (members.join(components(united), "node", "left")
+    if found:
+        members = (members.join(components(_similar(found)), "node", "left")
                    .withColumn("node", F.coalesce("root", "node")).drop("root"))
     members = written(members)
     heads = written(members.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("f"), F.count(F.lit(1)).alias("n_class"))

@@ -57,6 +57,17 @@ def test_a_hot_group_and_pairs_in_it(spark):
     assert all(r.class_id == r.doc_id - r.doc_id % 2 and r.n_class == 2 for r in out if r.doc_id >= 1000)
 
 
+def test_a_star_of_edits_that_are_unlike_each_other(spark):
+    base, rows = prose(1, 120).split(), [(0, prose(1, 120))]
+    for k in range(1, 301):
+        words = list(base)
+        words[5 + k % 50], words[60 + k // 9] = f"edit{k}", f"other{k}"
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(docs) == brute(spark, docs)
+    assert {(r.class_id, r.n_class) for r in nd.classes(docs).collect()} == {(0, 301)}
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert got(docs) == brute(spark, docs)
