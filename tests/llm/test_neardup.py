@@ -68,6 +68,24 @@ def test_a_star_of_edits_that_are_unlike_each_other(spark):
     assert {(r.class_id, r.n_class) for r in nd.classes(docs).collect()} == {(0, 301)}
 
 
+def mixed_rows():
+    """Pairs of near copies that all share 150 words; without the pairs' own words they are alike at under 0.8."""
+    rows = []
+    for k in range(200):
+        own, other = prose(1000 + k, 40).split(), prose(1000 + k, 40).split()
+        for at in (8, 20, 32):
+            other[at] = f"edit{k}"
+        rows += [(2 * k, " ".join([prose(1, 150), *own])), (2 * k + 1, " ".join([prose(1, 150), *other]))]
+    return rows
+
+
+def test_pairs_in_large_mixed_buckets(spark):
+    docs = spark.createDataFrame(mixed_rows(), "doc_id long, text string")
+    out = got(docs)
+    assert out == brute(spark, docs)
+    assert all(class_id == doc_id - doc_id % 2 for doc_id, _, class_id, _ in out)
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert got(docs) == brute(spark, docs)
