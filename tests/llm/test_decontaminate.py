@@ -73,6 +73,18 @@ def test_cleaned(spark):
     assert out[1].text == f"{clean}, {clean}" and out[1].n_chars == len(out[1].text)
 
 
+def test_shards_give_what_one_automaton_gives(spark, monkeypatch):
+    docs, bench = edge_docs(spark), spark.createDataFrame(ITEMS, "item_id long, text string")
+    whole = sorted((tuple(r) for r in dc.cleaned(docs, bench).collect()), key=repr)
+    monkeypatch.setattr(dc, "MOST_WORDS", 40)
+    monkeypatch.setattr(dc, "PIECE", 30)
+    lists = list(dc.shards(bench))
+    assert len(lists) > 3 and all(sum(len(words(t)) for _, t in x) <= 40 for x in lists)
+    got = dc.matches(docs, bench).drop("text_key").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute([r[:2] for r in edge_rows()], ITEMS)
+    assert sorted((tuple(r) for r in dc.cleaned(docs, bench).collect()), key=repr) == whole
+
+
 def test_too_large_a_benchmark(spark, monkeypatch):
     monkeypatch.setattr(dc, "MOST_WORDS", 10)
     with pytest.raises(ValueError):
