@@ -145,3 +145,11 @@ def test_best_job_takes_lowest_id_on_ties(spark):
 def test_fit_levels(spark):
     df = spark.createDataFrame([(70.0,), (69.9,), (40.0,), (39.9,)], "s double")
     assert [r[0] for r in df.select(mt.fit_level(F.col("s"))).collect()] == ["Strong", "Moderate", "Moderate", "Weak"]
+
+
+def test_matrix_of_more_jobs_than_a_block(spark, monkeypatch):
+    from workload import matching
+    from tests.llm.data import SMALL
+    want = sorted(tuple(r) for r in matching.match_matrix(spark, SMALL).collect())
+    monkeypatch.setattr(mt, "MOST_JOBS", 7)
+    assert sorted(tuple(r) for r in matching.match_matrix(spark, SMALL).collect()) == want

@@ -9,6 +9,7 @@ from fitmill.operators import matching as mt
 from fitmill.operators import sections as sec
 from fitmill.operators import similarity as sim
 from fitmill.rules.wordlists import MAX_FEATURES
+from fitmill.session import stack
 from workload.extraction import PROFILE_HITS
 from workload.inputs import (
     SQL_JOBS, SQL_PROFILES, SQL_STOP, SQL_TEMPLATES, STOP_WORDS, hits_sql, job_templates, jobs, profiles, table, taxonomy,
@@ -190,8 +191,10 @@ SQL["fit_level"] = f"WITH {SCORES} SELECT doc_id, job_id, {FIT_SQL} AS fit_level
 
 
 def match_matrix(spark, d):
-    listed = [r.job_id for r in jobs(spark, d).select("job_id").limit(mt.MOST_JOBS + 1).collect()]
-    grid = mt.full_grid(scores(spark, d), profiles(spark, d), listed)
+    listed = [r.job_id for r in jobs(spark, d).select("job_id").toLocalIterator()]
+    found, docs = scores(spark, d), profiles(spark, d)
+    blocks = [listed[k:k + mt.MOST_JOBS] for k in range(0, len(listed), mt.MOST_JOBS)] or [[]]
+    grid = stack(*[mt.full_grid(found, docs, block) for block in blocks])
     return grid.withColumn("score", F.round("score", DIGITS))
 
 
