@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import pandas as pd
 import pyarrow as pa
@@ -50,8 +51,17 @@ def auction(arcs: list[list[tuple]], sink: int) -> list[float]:
 
     arcs[v] holds (letter, node, cost), no cycle of cost 0; arcs lead to later nodes or within a layer.
     """
-    prices, settled = [0] * len(arcs), [False] * len(arcs)
-    settled[sink] = True
+    into = [[] for _ in arcs]
+    for v, some in enumerate(arcs):
+        for _, w, _ in some:
+            into[w].append(v)
+    leads, waiting = {sink}, [sink]
+    while waiting:  # nodes without a way to the sink would raise one another's prices for ever
+        new = set(into[waiting.pop()]) - leads
+        leads |= new
+        waiting += new
+    prices = [0 if v in leads else _NEVER for v in range(len(arcs))]
+    settled = [v == sink or v not in leads for v in range(len(arcs))]
     for origin in range(len(arcs) - 1, -1, -1):
         if origin == sink:
             continue
@@ -63,8 +73,6 @@ def auction(arcs: list[list[tuple]], sink: int) -> list[float]:
                     low, best = cost + prices[w], w
             if prices[v] < low:  # contract
                 prices[v] = low
-                if low == _NEVER:
-                    settled[v] = True
                 if len(path) > 1:
                     path.pop()
             else:  # extend
@@ -332,3 +340,67 @@ def repaired(conversations: DataFrame) -> DataFrame:
     blocks = written(_blocks(marked.repartitionByRange(*order).sortWithinPartitions(*order)))
     columns = ["conv_id", "part", "nth", "whole", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "messages"]
     return blocks.where("whole").select(columns).unionByName(_rejoined(blocks.where("NOT whole")).select(columns))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text with faults, by crc32('conv_id:turn') modulo 20; nulls in the three are one space.
+
+    0 drops the row, 1 empties its text, 2 removes its . ! ?, 3 repeats it, 4 makes its role user.
+    """
+    rows = conversations.select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"))
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = rows.withColumn("kind", F.crc32(name.cast("binary")) % 20).where("kind <> 0")
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1)))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+_SUMS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+
+
+def digests(conversations: DataFrame, blocks: DataFrame) -> DataFrame:
+    """A row per conv_id of `conversations`: the sums over its repaired blocks, audit, and repaired_sha256 of its
+    rows as role:text lines. A conversation without blocks has zeros, no audit and the hash of nothing.
+
+    A task streams the blocks of its conversations in their order and holds a batch of them and one audit.
+    """
+    none = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().select(
+        "conv_id", F.lit(-1).cast("long").alias("part"), F.lit(0).cast("long").alias("nth"),
+        *[F.lit(0).cast("long").alias(c) for c in _SUMS], F.lit("").alias("audit"), F.expr("cast(null AS array<struct<role:string,text:string>>)").alias("messages"))
+    rows = blocks.select(none.columns).unionByName(none).repartition("conv_id")
+    names = ["conv_id", *_SUMS, "audit", "repaired_sha256"]
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, state = [], None
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 7 else pa.string()) for k, c in enumerate(zip(*out))], names)
+
+        def close() -> None:
+            out.append((state[0], *state[1], "".join(state[2]), state[3].hexdigest()))
+
+        for some in batches:
+            ids, audits, messages = (some.column(c) for c in ("conv_id", "audit", "messages"))
+            sums = list(zip(*(some.column(c).to_pylist() for c in _SUMS)))
+            for k, conv_id in enumerate(ids.to_pylist()):
+                if state is None or state[0] != conv_id:
+                    if state:
+                        close()
+                    state = [conv_id, (0,) * len(_SUMS), [], sha256(), False]
+                state[1] = tuple(x + y for x, y in zip(state[1], sums[k]))
+                state[2].append(audits[k].as_py())
+                for m in messages[k].as_py() or ():
+                    state[3].update(f"{chr(10) if state[4] else ''}{m['role']}:{m['text']}".encode())
+                    state[4] = True
+            if len(out) >= 10_000:
+                yield batch()
+                out = []
+        if state:
+            close()
+            yield batch()
+
+    kinds = ", ".join(f"{c} {'long' if k < 7 else 'string'}" for k, c in enumerate(names))
+    return rows.sortWithinPartitions(F.asc_nulls_first("conv_id"), "part", "nth").mapInArrow(part, kinds)

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitmill.llm import decontaminate, mixing, neardup, quality, substring_dedup, suffix_dedup, tokens, topk, toxicity, warc
+from fitmill.llm import (alignment, conversations, decontaminate, mixing, neardup, quality, sharding, substring_dedup, suffix_dedup,
+                         tokens, topk, toxicity, warc)
 from fitmill.llm.shared import table
 
 
@@ -56,7 +57,25 @@ def op10_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_near_duplicates, op3_suffix_dedup, op4_substring_dedup, op5_source_mix, op6_decontamination, op7_quality, op8_warc_normaliser, op9_token_files, op10_top_vectors)}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.alignment(alignment.links(table(spark, sf_dir, "documents"), *paths))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversations.digests(given, conversations.repaired(conversations.damaged(given)))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.numbered(sharding.sharded(table(spark, sf_dir, "documents"), 16))
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    return rows.select("doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_near_duplicates, op3_suffix_dedup, op4_substring_dedup, op5_source_mix, op6_decontamination, op7_quality, op8_warc_normaliser, op9_token_files, op10_top_vectors,
+                                  op11_token_alignment, op12_conversation_repair, op13_sharding)}
 SQL: dict[str, str] = {
     "op8_warc_normaliser": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
