@@ -19,6 +19,11 @@ def test_csv_round_trip_and_malformed_rows(spark, tmp_path):
         for skip in (False, True):
             rows = corpus.read_csv(spark, str(tmp_path / f"{name}.csv"), skip_malformed=skip).collect()
             assert [(r.Category, r.Resume) for r in rows] == [("python dev", "Data")]
+    (tmp_path / "both parts").mkdir()
+    (tmp_path / "both parts" / "a.csv").write_text("ID,Category,Resume\n1,A,text one\n4,C\n")
+    (tmp_path / "both parts" / "b.csv").write_text("Category,Resume,ID\nB,text three,3\nD,much,5,more\n")
+    rows = corpus.read_csv(spark, str(tmp_path / "both parts"), skip_malformed=True).collect()
+    assert {tuple(r) for r in rows} == {("A", "text one"), ("C", None), ("B", "text three")}
     (tmp_path / "none.csv").write_text("Resume,Kind\na,b\n")
     with pytest.raises(ValueError, match="Category"):
         corpus.read_csv(spark, str(tmp_path / "none.csv"))
