@@ -15,6 +15,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ WORDS, LEAST_DOCS = 20_000, 3
 DIMENSIONS, NONZERO, NEIGHBOURS, RARE = 128, 8, 2, 1e-3
 #: So many average words are added to each document, lest a few words make an outlier of a short one.
 ADDED = 20
+#: Neighbours counted at once, and vectors gathered at once.
+PIECE, GATHERED = 500_000, 10_000
 HIDDEN, ROUNDS, RATE, DECAY, CALIBRATION = 32, 600, 0.01, 1e-4, 5
 _TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
 _CAPITALS = re.compile(r"\b[^\W\d_a-z]{2,}\b")
@@ -77,7 +80,7 @@ def pool(text: str | None, number: dict[bytes, int], vectors: np.ndarray, usual:
         return usual
     ids = np.fromiter(map(number.get, map(bytes.lower, found), [len(number)] * len(found)), np.int64, len(found))
     repeated = sum(map(operator.eq, found[1:], found))
-    total = sum((vectors[ids[k:k + 65536]].sum(0) for k in range(0, len(ids), 65536)), np.zeros(vectors.shape[1]))
+    total = sum((vectors[ids[k:k + GATHERED]].sum(0) for k in range(0, len(ids), GATHERED)), np.zeros(vectors.shape[1]))
     total += repeated * vectors[-2] + len(_CAPITALS.findall(text)) * vectors[-1]
     return ((total + ADDED * usual) / (len(found) + ADDED)).astype(np.float32)
 
@@ -91,21 +94,28 @@ def _sums(ids: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
 
 
 def word_vectors(texts: list[str]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
-    """Numbers and weighted vectors of the sample's words, and of the signs behind them; their mean in use."""
-    split = [[*map(bytes.lower, tokens(t))] for t in texts]
-    seen = Counter(w for words in split for w in set(words))
+    """Numbers and weighted vectors of the sample's words, and of the signs behind them; their mean in use.
+
+    The texts are cut into words twice, so that no more than one text's words are held at a time; beside the
+    texts there are four bytes a word of the sample.
+    """
+    seen = Counter()
+    for t in texts:
+        seen.update(set(map(bytes.lower, tokens(t))))
     number = {w: k for k, (w, n) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:WORDS]) if n >= LEAST_DOCS}
+    del seen
     names = [*number, *SIGNS]
     own = index_vectors(names)
     vectors, counts = own * 1.0, np.zeros(len(names))
-    ids = np.array([number.get(w, len(number)) for words in split for w in words], np.int64)
+    ids = np.concatenate([np.fromiter(map(number.get, map(bytes.lower, found), repeat(len(number))), np.int32, len(found))
+                          for found in map(tokens, texts)])
     counts += np.bincount(ids, minlength=len(names))
     for far in range(1, NEIGHBOURS + 1):
-        for k in range(0, len(ids) - far, 1_000_000):  # neighbours across the end of a document are few enough
-            piece = ids[k:k + 1_000_000 + far]
+        for k in range(0, len(ids) - far, PIECE):  # neighbours across the end of a document are few enough
+            piece = ids[k:k + PIECE + far].astype(np.int64)
             pairs, n = np.unique(piece[:-far] * len(names) + piece[far:], return_counts=True)
-            for at in range(0, len(pairs), 100_000):
-                some, times = pairs[at:at + 100_000], (n[at:at + 100_000, None] / 20).astype(np.float32)
+            for at in range(0, len(pairs), GATHERED):
+                some, times = pairs[at:at + GATHERED], (n[at:at + GATHERED, None] / 20).astype(np.float32)
                 left, right = some // len(names), some % len(names)
                 _sums(left, own[right] * times, vectors)
                 _sums(right, own[left] * times, vectors)
