@@ -162,7 +162,8 @@ def sharded(docs: DataFrame, n: int) -> DataFrame:
 def numbered(shards: DataFrame) -> DataFrame:
     """The rows of sharded() with their place in the shard by doc_id (null first) and text: `slot`, from 0.
 
-    Ranges of rows are numbered on their own, after the rows of the shard's earlier ranges.
+    Ranges of rows are numbered on their own, after the rows of the shard's earlier ranges. `text` itself isn't
+    needed: where the caller drops it, only keys pass the exchange.
     """
     counts = shards.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     earlier = W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
