@@ -70,6 +70,19 @@ def test_given_pairs(spark, tables, cap):
         assert r.tfidf == pytest.approx(tfidf(DOCS[r.doc_id], JOBS[r.job_id], cap), abs=1e-9)
 
 
+@pytest.mark.parametrize("cap", [None, 500, 7, 1])
+def test_given_pairs_of_texts(spark, cap):
+    odd = [*DOCS, "", "of", "alpha", "alpha beta", "alpha alpha alpha alpha", None]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    jobs = spark.createDataFrame(list(enumerate(JOBS)), "job_id long, text string")
+    pairs = [(i, j) for i in range(len(odd)) for j in (i % len(JOBS), 0)] + [(10**6, 0), (0, 10**6)]
+    rows = sim.tfidf_of_texts(spark.createDataFrame(pairs, "doc_id long, job_id long"), docs, jobs, STOP, cap).collect()
+    assert sorted((r.doc_id, r.job_id) for r in rows) == sorted(pairs)
+    for r in rows:
+        a, b = dict(enumerate(odd)).get(r.doc_id) or "", dict(enumerate(JOBS)).get(r.job_id, "")
+        assert r.tfidf == pytest.approx(tfidf(a, b, cap), abs=1e-9)
+
+
 def test_section_similarity(spark, tables):
     sections = spark.createDataFrame([(0, "skills", "alpha beta"), (0, "other", "  "), (1, "skills", "zeta")],
                                      "doc_id long, section string, text string")

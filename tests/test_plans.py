@@ -41,6 +41,13 @@ def test_all_pairs_shuffle_only_the_text(spark):
     assert "hashpartitioning(gram" not in plan.split("BroadcastQueryStage")[0]
 
 
+@pytest.mark.parametrize("name", ["tfidf_pair_capped", "win_rate", "section_similarity", "scored_corpus"])
+def test_grams_of_pairs_are_no_rows(spark, name):
+    # grams grouped as rows spill once a task has many texts, and maps of them were broadcast
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[doc_id#\d+L?, (section#\d+, )?gram#", plan)
+
+
 @pytest.mark.parametrize("name", ["match_matrix", "full_analysis", "scored_corpus", "term_overlap"])
 def test_no_nested_loops(spark, name):
     plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
