@@ -48,6 +48,13 @@ def test_grams_of_pairs_are_no_rows(spark, name):
     assert not re.search(r"Aggregate \[doc_id#\d+L?, (section#\d+, )?gram#", plan)
 
 
+@pytest.mark.parametrize("name", ["title_strings", "education_strings", "job_title", "entity_count_stats", "doc_profile"])
+def test_text_is_folded_once_for_all_patterns(spark, name):
+    # inlined, the fold ran again for every cue of every pattern
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") < 12
+
+
 @pytest.mark.parametrize("name", ["match_matrix", "full_analysis", "scored_corpus", "term_overlap"])
 def test_no_nested_loops(spark, name):
     plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
