@@ -11,12 +11,15 @@ own shingles worthless and the one word that a copy changed decisive.
 
 Copies with equal words are one node from the start. Of a bucket of at most FEW nodes all pairs are verified. Of
 a larger one only pairs with its leader, the least node, are at first, so a bucket of n nodes that are all like one
-costs n pairs, never n squared. Buckets whose nodes aren't one component then are settled exactly: two texts at 0.8
-or more share a shingle of their prefixes (the rarest shingles of each, as far as those behind weigh less than 0.8
-of all), so the buckets' nodes are grouped by prefix shingle. Each group of more than one component gets a hub, its
-node with the most links, for LEADERS rounds; of groups that still hold several components, every pair of different
-ones is verified, dealt out in blocks. So each pair that shares a bucket is verified, unlike by prefix or weight, or
-in one component already. A pair at 0.8 shares a band with probability 0.99995.
+costs n pairs, never n squared. The nodes of buckets that aren't one component then are settled exactly, by prefix
+shingles: in one order of all shingles, from rare to frequent among these nodes, two texts at 0.8 or more have a
+first common shingle, and at it neither has so much weight behind it that the rest can't make 0.8. So nodes are
+grouped by shingle, as far as that holds for any partner, and a pair is verified only if it holds for both of them.
+For LEADERS rounds each group gets a hub, one of its nodes at random, and pairs with it alone are verified. After
+them, in each group that still holds several components, the nodes outside its largest one meet all the others,
+dealt out in blocks; a pair whose parity sketches differ in more places than its texts may differ in weight is left
+out. No similar pair that shares a bucket is lost, unless it is in one component already. A pair at 0.8 shares a band
+with probability 0.99995.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -45,6 +48,8 @@ AT_ONCE = 2048
 DAMPING, FEW = 0.25, 6
 #: Rounds of hubs before all pairs of different components, and nodes of a group that one task pairs with the others.
 LEADERS, BLOCK = 3, 256
+#: 64-bit words of a sketch, and the share of their summed weights that two similar texts have in common at least.
+SKETCH, COMMON = 16, SIMILAR / (1 + SIMILAR)
 
 
 # one document ------------------------------------------------------------------------
@@ -103,6 +108,16 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(least / (a[1].sum() + b[1].sum() - least)) if len(ia) else 0.0
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of 64 * SKETCH bins.
+
+    Sketches of two texts differ in no more places than there are shingles in only one of them, each of which weighs
+    one or more.
+    """
+    parity = np.bincount((h >> np.uint64(30) & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
 def _bytes(text: str | None) -> bytes:
     return (text or "").lower().encode()
 
@@ -173,61 +188,104 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(part, "a binary, b binary, similar boolean")
 
 
-def _prefixes(texts: DataFrame, idf: Broadcast) -> DataFrame:
-    """node, weight, token: a row for each prefix shingle; similar texts have one in common.
+def _prefixes(texts: DataFrame, idf: Broadcast) -> tuple[DataFrame, DataFrame]:
+    """Rows node, token, before, weight of the shingles a similar text's first common one can be; rows node, sketch.
 
-    Behind its prefix a text has less than SIMILAR of its weight. If two prefixes have no shingle in common, all
-    common shingles are behind the prefix that ends first, which is too little to be similar.
+    The order is that of frequency among these texts, then of the hash; `before` is the weight of the text's earlier
+    shingles. At the first shingle in common with a similar text at least SIMILAR of the weight is left. Shingles of
+    one text alone count in the order, but aren't returned.
     """
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weights, tokens = [], []
+            weights, tokens, each, sketches = [], [], [], []
             for text in batch.column("text"):
                 h, w = _weighted(text.as_py(), idf.value)
-                order = np.lexsort((h, -idf.value[bins(h)]))
-                up_to = np.cumsum(w[order])
-                most = up_to[-1] * (1 - SIMILAR + 1e-9)
-                tokens.append(h[order[:np.searchsorted(up_to, most, "right") + 1]].view(np.int64))
+                tokens.append(h.view(np.int64))
+                each.append(w)
                 weights.append(float(w.sum()))
+                sketches.append(sketch(h))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(weights, pa.float64()), pa.array(tokens, pa.list_(pa.int64()))],
-                ["node", "weight", "tokens"])
+                [batch.column("node"), pa.array(weights, pa.float64()), pa.array(tokens, pa.list_(pa.int64())),
+                 pa.array(each, pa.list_(pa.float64())), pa.array(sketches, pa.list_(pa.int64()))],
+                ["node", "weight", "tokens", "each", "sketch"])
+
+    rows = written(texts.select("node", "text").mapInArrow(
+        part, "node binary, weight double, tokens array<long>, each array<double>, sketch array<long>"))
+    each = rows.select("node", "weight", F.explode(F.arrays_zip("tokens", "each")).alias("t")).select(
+        "node", "weight", F.col("t.tokens").alias("token"), F.col("t.each").alias("w"))
+    often = written(each.groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    earlier = W.partitionBy("node").orderBy("n", "token").rowsBetween(W.unboundedPreceding, -1)
+    placed = each.join(often.hint("merge"), "token").withColumn("before", F.coalesce(F.sum("w").over(earlier), F.lit(0.0)))
+    prefixes = placed.where((F.col("before") <= F.col("weight") * (1 - SIMILAR + 1e-9)) & (F.col("n") > 1))
+    return written(prefixes.select("node", "token", "before", "weight")), rows.select("node", "sketch")
+
+
+def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """roots(node, root) after the verified pairs found(a, b, similar) of its nodes: only components that they join change."""
+    first = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    second = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    edges = written(found.where("similar").join(first, "a").join(second, "b").where("root_a <> root_b").groupBy(
+        F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")).agg(F.lit(1).alias("_")).drop("_"))
+    if edges.isEmpty():
+        return roots
+    moved = components(edges).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return written(roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
 
-    rows = texts.select("node", "text").mapInArrow(part, "node binary, weight double, tokens array<long>")
-    return rows.select("node", "weight", F.explode("tokens").alias("token"))
 
+def _new(pairs: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that no round has verified."""
+    pairs = pairs.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
+    for done in rounds:
+        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+    return written(pairs)
 
-def _united(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionByName(more)
-    return out
 
+def _could(need_roots: str = "root_a <> root_b") -> Column:
+    """Whether rows of one shingle can be a similar pair's first common one: what is left of both suffices."""
+    left = F.least(F.col("weight_a") - F.col("before_a"), F.col("weight_b") - F.col("before_b"))
+    return F.expr(need_roots) & (left >= (F.col("weight_a") + F.col("weight_b")) * (COMMON - 1e-9))
 
-def _similar(rounds: list[DataFrame]) -> DataFrame:
-    return _united(rounds).where("similar").select("a", "b")
 
+def _side(rows: DataFrame, side: str) -> DataFrame:
+    """The rows with node named as the side and the side in the other names but those that both sides share."""
+    return rows.select(*(F.col(c).alias(side if c == "node" else c if c in ("token", "block") else f"{c}_{side}") for c in rows.columns))
 
-def _rooted(rows: DataFrame, rounds: list[DataFrame]) -> DataFrame:
-    """The rows with the root of each node's component and its number of links."""
-    found = _similar(rounds)
-    degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    known = written(components(found).join(degree, "node"))
-    return (rows.join(known, "node", "left")
-            .withColumn("root", F.coalesce("root", "node")).withColumn("degree", F.coalesce("degree", F.lit(0))))
 
+def _with_hubs(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a node at random of each shingle's, if they have several roots, with the others."""
+    groups = written(placed.groupBy("token")
+                     .agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                          F.max(F.struct(F.xxhash64("node", "token", F.lit(turn)), "node", "root", "weight", "before")).alias("hub"))
+                     .where("low <> high").select("token", "hub.node", "hub.root", "hub.weight", "hub.before"))
+    both = _side(placed, "b").join(_side(groups, "a"), "token").where(_could())
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-def _new(pairs: DataFrame, rounds: list[DataFrame]) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that no round has verified."""
-    pairs = pairs.groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
-    for done in rounds:
-        pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-    return written(pairs)
+
+def _of_components(placed: DataFrame, sketches: DataFrame) -> DataFrame:
+    """All pairs of different roots that share a shingle: the nodes outside its largest component with all its nodes."""
+    sizes = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
+    groups = written(sizes.groupBy("token").agg(F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("m"))
+                     .where("m > largest.n").select("token", F.col("largest.root").alias("major"),
+                                                    F.ceil((F.col("m") - F.col("largest.n")) / BLOCK).cast("int").alias("blocks")))
+    words = [F.get("sketch", F.lit(k)).alias(f"s{k}") for k in range(SKETCH)]
+    rows = written(placed.join(groups, "token").join(sketches, "node").withColumn("minor", F.col("root") != F.col("major"))
+                   .select("token", "node", "root", "weight", "before", "minor", "blocks", *words))
+    first = rows.where("minor").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    second = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(1, SKETCH)),
+                F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
+    once = "root_a <> root_b AND (NOT minor_b OR a < b)"
+    near = apart <= (F.col("weight_a") + F.col("weight_b")) * (1 - 2 * COMMON + 1e-9)
+    both = _side(first.drop("blocks"), "a").join(_side(second.drop("blocks"), "b"), ["token", "block"]).where(_could(once) & near)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def links(docs: DataFrame, nodes: DataFrame, idf: Broadcast) -> list[DataFrame]:
-    """Tables of verified pairs (a, b), one a round; nodes has node, doc_id, text_key and bands."""
+def links(docs: DataFrame, nodes: DataFrame, idf: Broadcast) -> DataFrame | None:
+    """node and root, the least node of its component, of nodes that may be similar to others; None if there are none.
+
+    nodes has node, doc_id, text_key and bands.
+    """
     each_band = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = written(each_band.groupBy("band", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     rows = written(each_band.join(buckets, ["band", "key"]))
@@ -238,43 +296,29 @@ def links(docs: DataFrame, nodes: DataFrame, idf: Broadcast) -> list[DataFrame]:
     led = large.where(F.col("node") > F.col("least")).select(F.col("least").alias("a"), F.col("node").alias("b"))
     pairs = _new(each.unionByName(led), [])
     if pairs.isEmpty():
-        return []
+        return None
     wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
     mine = written(nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "text_key"))
     same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_key") == F.col("r.text_key"))
     texts = written(docs.alias("d").join(mine.alias("r").hint("merge"), same).groupBy("r.node").agg(F.first("d.text").alias("text")))
     rounds = [written(_verified(pairs, texts, idf))]
+    roots = written(mine.select("node").join(components(rounds[0].where("similar").select("a", "b")), "node", "left")
+                    .select("node", F.coalesce("root", "node").alias("root")))
 
     # large buckets of more than one component
-    placed = written(_rooted(large.select("band", "key", "node"), rounds))
+    placed = written(large.select("band", "key", "node").join(roots, "node"))
     parted = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     left = written(placed.join(parted, ["band", "key"], "left_semi").select("node").distinct())
     if left.isEmpty():
-        return rounds
-    prefixes = written(_prefixes(texts.join(left.hint("merge"), "node", "left_semi"), idf))
+        return roots
+    prefixes, sketches = _prefixes(texts.join(left.hint("merge"), "node", "left_semi"), idf)
     for turn in range(LEADERS + 1):
-        placed = written(_rooted(prefixes, rounds))
-        groups = (placed.groupBy("token")
-                  .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m"),
-                       F.max(F.struct("degree", F.xxhash64("node", F.lit(turn)), "node", "root", "weight")).alias("hub"))
-                  .where("low <> high").select("token", "m", F.col("hub.node").alias("a"), F.col("hub.root").alias("root_a"),
-                                               F.col("hub.weight").alias("weight_a")))
-        members = placed.select("token", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("weight").alias("weight_b"))
-        could = ((F.col("root_a") != F.col("root_b"))
-                 & (F.least("weight_a", "weight_b") >= F.greatest("weight_a", "weight_b") * (SIMILAR - 1e-9)))
-        if turn < LEADERS:
-            both = members.join(groups, "token").where(could).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        else:  # what is left: all pairs of different components
-            blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-            second = written(members.join(groups.select("token", "m"), "token"))
-            first = second.select("token", F.col("b").alias("a"), F.col("root_b").alias("root_a"), F.col("weight_b").alias("weight_a"),
-                                  F.pmod(F.xxhash64("b"), blocks).cast("int").alias("block"))
-            second = second.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            both = first.join(second, ["token", "block"]).where(could & (F.col("a") < F.col("b"))).select("a", "b")
-        pairs = _new(both, rounds)
+        placed = written(prefixes.join(roots, "node"))
+        pairs = _new(_with_hubs(placed, turn) if turn < LEADERS else _of_components(placed, sketches), rounds)
         if not pairs.isEmpty():
             rounds.append(written(_verified(pairs, texts, idf)))
-    return rounds
+            roots = _merged(roots, rounds[-1])
+    return roots
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -305,12 +349,12 @@ def classes(docs: DataFrame) -> DataFrame:
     signed = written(_signed(docs, idf))
     nodes = written(signed.where("node IS NOT NULL").groupBy("node")
                     .agg(F.min(F.struct("doc_id", "text_key", "bands")).alias("f")).select("node", "f.*"))
-    found = links(docs, nodes, idf)
+    roots = links(docs, nodes, idf)
     members = signed.select("doc_id", "text_key", F.coalesce("node", F.concat(
         F.lit("no words ").cast("binary"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"),
         F.lit(" ").cast("binary"), F.coalesce(F.col("text_key").cast("string"), F.lit("")).cast("binary"))).alias("node"))
-    if found:
-        members = (members.join(components(_similar(found)), "node", "left")
+    if roots is not None:
+        members = (members.join(roots, "node", "left")
                    .withColumn("node", F.coalesce("root", "node")).drop("root"))
     members = written(members)
     heads = written(members.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("f"), F.count(F.lit(1)).alias("n_class"))

@@ -86,6 +86,44 @@ def test_pairs_in_large_mixed_buckets(spark):
     assert all(class_id == doc_id - doc_id % 2 for doc_id, _, class_id, _ in out)
 
 
+def cloud_rows(n):
+    """Texts that each change three words of one that isn't there, each unlike nearly all others; some have a near copy."""
+    base, rows, draw = prose(7, 150).split(), [], np.random.default_rng(3)
+    for k in range(n):
+        words = list(base)
+        for at in draw.choice(150, 3, replace=False):
+            words[at] = f"edit{k}x{at}"
+        rows.append((2 * k, " ".join(words)))
+        if k % 20 == 0:
+            rows.append((2 * k + 1, " ".join([*words, "end"])))
+    return rows
+
+
+def test_a_cloud_of_unlike_edits_costs_no_pair_of_each_two(spark, monkeypatch):
+    verified, counts = nd._verified, []
+
+    def counted(pairs, *more):
+        counts.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(nd, "_verified", counted)
+    rows = cloud_rows(300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = got(docs)
+    assert out == brute(spark, docs)
+    assert len({r[2] for r in out}) > 200  # hardly any two are alike
+    assert len(counts) > 1 and sum(counts[1:]) < 5 * len(rows)  # the pairs that settle large buckets
+
+
+def test_sketches_differ_no_more_than_texts():
+    draw = np.random.default_rng(5)
+    for n in (1, 40, 400, 5000):
+        h = np.unique(draw.integers(0, 2**63, 2 * n).astype(np.uint64))
+        a, b = h[:n], h[n // 8:n + n // 8]
+        apart = np.bitwise_count((nd.sketch(a) ^ nd.sketch(b)).view(np.uint64)).sum()
+        assert apart <= len(np.setxor1d(a, b)) and not (nd.sketch(a) ^ nd.sketch(a[::-1])).any()
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert got(docs) == brute(spark, docs)
