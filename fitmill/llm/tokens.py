@@ -17,9 +17,8 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,69 +32,124 @@ from fitmill.llm.shared import filesystem, text_key, workspace, written
 MAGIC = b"PFOR\x01\0\0\0"
 BLOCK = 4096
 PERCENTILE = 95
-#: Words after which a worker keeps those met from then on, and forgets the ones that it kept before.
-REMEMBERED = 500_000
-#: Characters of text that are taken in at once.
-CHUNK = 1 << 20
-#: White space with the word behind it: no token of the vocabulary's pattern crosses the start of one.
-_SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Words that a worker keeps before it sets them aside and forgets those that it had set aside before.
+REMEMBERED = 250_000
+#: Characters of a word that is kept, at most.
+LONGEST = 64
+#: Runs of white space of which more than the last character is one piece, and that piece.
+_RUN = re.compile(r"[ \n]{2,}+\Z|[ \n]{2,}(?=[ \n])")
+_TWO = ("  ", " \n", "\n ", "\n\n")
+#: The tokenizer's pieces of words of these characters, in which its Unicode tables and Python's can't differ.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARKS = r"!-/:-@\[-`{-~"
+_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+")
+_USUAL = re.compile(rf" ?[{_LETTERS}0-9{_MARKS}]+")
+_MARKED = re.compile(rf"([{_LETTERS}]+)([{_MARKS}]+)")
+_SPACE = re.compile(r"\s")
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
 
 # ids of texts ------------------------------------------------------------------------
 
+class _Odd(Exception):
+    """A word that may not be encoded apart from its text."""
+
+
+class _Words(dict):
+    """Ids of words as little-endian u32: of " word" under "word", of a line feed and "word" under "\\nword"."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        self.encode, self.before = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        if len(word) > LONGEST:
+            return ids
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Gives the ids of texts as little-endian u32, just as the tokenizer gives them for each whole text.
 
-    Byte-level BPE works within pieces, and no piece spans the end of a word before a space or line feed. So
-    the ids of words, with the one space before them, are remembered and joined; new words are encoded many at
-    a time, a line each, since a line feed between words is a piece of its own. Texts with white space of
-    other kinds, or with what may be a special token's string, and runs of white space are encoded as they are.
+    Byte-level BPE works within pieces, and no piece spans the end of a word before a space or line feed, but
+    for runs of three, or two at the end of a text. So texts are cut there, the ids of words, with the one
+    space or line feed before them, are remembered and joined, and runs are encoded as they are. A new word
+    of usual characters is cut into its pieces here, each of which goes to the tokenizer's model; others go
+    through the whole tokenizer. Texts with white space of other kinds, or with what may be a special token's
+    string, are encoded as they are, and with a tokenizer of another kind all texts are.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
-
-        self.tokenizer, self.known, self.before = Tokenizer.from_file(path), {}, {}
-        self.line = self._plain("\n")
-        if len(self.line) != 4:
-            raise ValueError("the vocabulary has no token for a line feed alone")
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer, self.known = Tokenizer.from_file(path), _Words(self._word)
+        self.cut, self.line = self.tokenizer.model.tokenize, self._plain("\n")
+        same = ByteLevel(add_prefix_space=False, use_regex=True).__getstate__()
+        split, added = self.tokenizer.pre_tokenizer, self.tokenizer.get_added_tokens_decoder().values()
+        self.by_word = (len(self.line) == 4 and self.tokenizer.normalizer is None and type(self.tokenizer.model).__name__ == "BPE"
+                        and split is not None and split.__getstate__() == same and self.tokenizer.post_processor is None
+                        and self.tokenizer.truncation is None and self.tokenizer.padding is None
+                        and all(t.content.startswith("<|") and _SPACE.search(t.content) is None and not t.lstrip for t in added))
+        # the letters that stand for the bytes of characters
+        self.letters = {c: split.pre_tokenize_str(chr(c))[0][0] for c in range(0x20, 0x100) if not 0x7F <= c <= 0xA0} if self.by_word else {}
+        self.space = self.letters.get(0x20)
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, segments: Iterable[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known, self.before = {}, self.known
-        new = [s for s in segments if s not in self.known]
-        self.known.update((s, self.before[s]) for s in new if s in self.before)
-        new = [s for s in new if s not in self.known]
-        simple = [s for s in new if s[0] != "\n" and s[:2] not in ("  ", " \n", " ")]
-        (joined,) = self.tokenizer.encode_batch_fast(["\n".join(simple)], add_special_tokens=False)
-        ids = np.array(joined.ids, "<u4")
-        cuts = np.flatnonzero(ids == np.frombuffer(self.line, "<u4")[0]).tolist()
-        data, begins, ends = ids.tobytes(), [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]
-        if simple:
-            self.known.update(zip(simple, (data[4 * b:4 * e] for b, e in zip(begins, ends, strict=True)), strict=True))
-        for s in new:
-            if s not in self.known:
-                lead = s[0] == "\n" and s[1:2] not in ("", " ", "\n")
-                self.known[s] = self.line + self._plain(s[1:]) if lead else self._plain(s)
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self._piece(self.space + word)
+        found = _MARKED.fullmatch(word)
+        if found and "<|" not in word:
+            return self.known[found[1]] + self.known["\n" + found[2]][4:]
+        line = word[:1] == "\n"
+        if "<|" in word or _SPACE.search(word, line):
+            raise _Odd
+        apart = word[1:] if line else " " + word
+        if not _USUAL.fullmatch(apart):
+            ids = self._plain(apart) if apart else b""
+        else:
+            ids = b"".join([self._piece(piece.translate(self.letters)) for piece in _PIECE.findall(apart)])
+        return self.line + ids if line else ids
+
+    def _piece(self, letters: str) -> bytes:
+        ids = [t.id for t in self.cut(letters)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
+
+    def _joined(self, text: str) -> bytes:
+        """The ids of a text without long runs of white space."""
+        words = text.replace("\n", " \n").split(" ")
+        if not words[0]:
+            return b"".join(map(self.known.__getitem__, words[1:]))
+        words[0] = "\n" + words[0]
+        return b"".join(map(self.known.__getitem__, words))[4:]
+
+    def _text(self, text: str) -> bytes:
+        if not self.by_word:
+            return self._plain(text)
+        try:
+            if not any(two in text for two in _TWO):
+                return self._joined(text)
+            out, place = [], 0
+            for run in _RUN.finditer(text):
+                out += self._joined(text[place:run.start()]), self._plain(run[0])
+                place = run.end()
+            return b"".join([*out, self._joined(text[place:])])
+        except _Odd:
+            return self._plain(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; takes a few texts at a time, a very long one alone."""
-        out, k = [], 0
-        while k < len(texts):
-            size, begin = 0, k
-            while k < len(texts) and (k == begin or size + len(texts[k]) <= CHUNK):
-                size, k = size + len(texts[k]), k + 1
-            odd = [bool(_OTHER_SPACE.search(t)) or "<|" in t for t in texts[begin:k]]
-            found = [None if o else _SEGMENT.findall(t) for t, o in zip(texts[begin:k], odd)]
-            self._learn(dict.fromkeys(chain.from_iterable(f for f in found if f)))
-            ids = self.known.__getitem__
-            out += [self._plain(t) if f is None else b"".join(map(ids, f)) for t, f in zip(texts[begin:k], found)]
-        return out
+        """The ids of each text."""
+        return [self._text(t) for t in texts]
 
 
 @cache
@@ -108,9 +162,10 @@ def encoder(path: str) -> Encoder:
 def pack_block(ids: np.ndarray) -> bytes:
     low = int(ids.min())
     rest = ids - np.uint32(low)
-    width = int(np.percentile(rest, PERCENTILE, method="higher")).bit_length()
+    nth = (len(rest) - 1) * PERCENTILE // 100 + ((len(rest) - 1) * PERCENTILE % 100 > 0)
+    width = int(np.partition(rest, nth)[nth]).bit_length()
     places = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
-    bits = (rest[:, None] >> np.arange(width, dtype=np.uint32) & np.uint32(1)).astype(np.uint8)
+    bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
     return b"".join((struct.pack("<IIHB", len(ids), low, len(places), width), np.packbits(bits).tobytes(),
                      places.astype("<u2").tobytes(), rest[places].astype("<u4").tobytes()))
 

@@ -39,6 +39,26 @@ def test_encoder_equals_the_tokenizer(plain):
         assert np.frombuffer(ids, "<u4").tolist() == plain(text), repr(text)
 
 
+def test_encoder_cuts_runs_and_marked_words(plain):
+    encoder, draw = tokens.Encoder(PATH), random.Random(2)
+    pieces = ["der", "Ñandú", "don't", "'LL", " ", " ", " ", "\n", "\n\n ", ",", "%%%", "×", "ª", "<|", "7", "\x85", "   "]
+    texts = ["".join(draw.choices(pieces, k=draw.randrange(14))) for _ in range(2000)] + ["x" * 1000, "a\n\n", "\n\n<|endoftext|>é"]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain(text), repr(text)
+
+
+def test_usual_words_need_the_model_alone(plain, monkeypatch):
+    encoder, met = tokens.Encoder(PATH), []
+    whole, cut = encoder.tokenizer, encoder.cut
+    encoder.tokenizer, encoder.cut = None, lambda word: met.append(word) or cut(word)
+    text = "Verlich queasñ, queasñ queasñ%%%\nVerlich don't 12"
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == plain(text) == whole.encode(text).ids
+    assert met.count("Ġqueas" + "Ã±") == 1  # once for all marks behind it
+    monkeypatch.setattr(tokens, "REMEMBERED", 10)
+    encoder.encode([" ".join(f"w{'a' * (k % 7)}{'b' * (k // 7)}" for k in range(60))])
+    assert len(encoder.known) <= 10 and len(encoder.known.before) <= 40
+
+
 def check(out, rows, plain):
     start, want = 0, []
     for doc_id, text in rows:
