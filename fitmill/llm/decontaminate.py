@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fitmill.llm.automaton import Automaton
-from fitmill.llm.shared import text_key, written
+from fitmill.llm.shared import small_batches, text_key, written
 
 WINDOW = 10
 #: Words of all items together that one automaton may hold (some 300 bytes each in every worker).
@@ -198,6 +198,7 @@ def _same(left: str, right: str) -> Column:
 
 def _first_two(benchmark: DataFrame, window: int) -> tuple[list, list | None, Iterator]:
     """The first list of items, the second or None, and all lists."""
+    small_batches(benchmark.sparkSession)
     lists = shards(benchmark, window)
     first, second = next(lists, []), next(lists, None)
     return first, second, chain([first], [] if second is None else [second], lists)

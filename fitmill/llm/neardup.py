@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fitmill.llm.repeats import Hashes, mixed
-from fitmill.llm.shared import text_key, written
+from fitmill.llm.shared import small_batches, text_key, written
 from fitmill.llm.substring_dedup import symbols
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -344,6 +344,7 @@ def classes(docs: DataFrame) -> DataFrame:
     null doc_id first; n_class counts rows. A document without words (null and empty texts too) is like no other;
     rows that repeat its doc_id and text are in one class. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key().alias("text_key"))
     idf = docs.sparkSession.sparkContext.broadcast(frequencies(docs)[0])
     signed = written(_signed(docs, idf))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fitmill.llm.labelled import held_out, sample
+from fitmill.llm.shared import small_batches
 
 #: Labelled documents to learn from, at most, and the longest of them in characters.
 ROWS, MOST_CHARS = 6000, 50_000
@@ -186,6 +187,7 @@ def scored(docs: DataFrame, model: Model | float, least: float = 0.7) -> DataFra
     Whole texts; null and empty ones get the score of a document without words. Repeated rows are scored one
     by one. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +202,7 @@ def scored(docs: DataFrame, model: Model | float, least: float = 0.7) -> DataFra
 
 def accepted(docs: DataFrame, model: Model | float, least: float = 0.7) -> DataFrame:
     """The rows of docs that score `least` or more, with all their columns."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fitmill.llm.shared import filesystem, text_key, workspace, written
+from fitmill.llm.shared import filesystem, small_batches, text_key, workspace, written
 
 MAGIC = b"PFOR\x01\0\0\0"
 BLOCK = 4096
@@ -245,6 +245,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
     part, path, n_docs, n_ids; a null text is empty and gets the end id alone; no rows, no files. Other
     columns are not read.
     """
+    small_batches(docs.sparkSession)
     folder = workspace(docs.sparkSession)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
