@@ -8,6 +8,8 @@ Java's own ``\\b`` and ``\\s`` are partly ASCII and have changed between version
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 from re import _constants as kind
 from re import _parser as regex_parser
 
@@ -21,6 +23,9 @@ DIGIT = r"\p{Nd}"
 EDGE = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 WORD_START = rf"(?<![{WORD}])"
 
+# Literals that are told apart, at most, where alternatives follow each other.
+MOST_RUNS = 64
+
 # A private-use character: neither word, space nor punctuation to any pattern.
 MARK = ""
 
@@ -86,24 +91,49 @@ def _opening(items) -> tuple[str, bool] | None:
     return None
 
 
+def _walk(items, runs: set[str]) -> tuple[list[set[str]], set[str]]:
+    """Sets of literals, of each of which every match holds one; and what may stand just before the items' end.
+
+    ``runs`` is what may stand just before their beginning.
+    """
+    choices = []
+    for op, arg in items:
+        if op is kind.LITERAL:
+            runs = {r + chr(arg) for r in runs}
+        elif op is kind.IN and len(arg) < 5 and all(k is kind.LITERAL for k, _ in arg):
+            runs = {r + chr(c) for r in runs for _, c in arg}
+        elif op is kind.MAX_REPEAT and tuple(arg[:2]) == (0, 1) and all(k is kind.LITERAL for k, _ in arg[2]):
+            runs = runs | {r + "".join(chr(c) for _, c in arg[2]) for r in runs}
+        elif op in (kind.SUBPATTERN, kind.BRANCH) or op is kind.MAX_REPEAT and arg[0] > 0:
+            choices.append(runs)
+            parts = arg[1] if op is kind.BRANCH else [arg[-1]]
+            found = [_walk(part, runs) for part in parts]
+            best = [_best([*inner, after]) for inner, after in found]
+            choices.append(set().union(*best) if all(best) else set())
+            runs = {""} if op is kind.MAX_REPEAT else set().union(*(after for _, after in found))
+        elif op is not kind.AT:
+            choices.append(runs)
+            runs = {""}
+        if len(runs) > MOST_RUNS:
+            choices.append(runs)
+            runs = {""}
+    return choices, runs
+
+
+def _ranked(choices: list[set[str]]) -> list[set[str]]:
+    """The choices without literals that hold others, the most telling first; those of any text are left out."""
+    least = {frozenset(c for c in some if not any(o in c for o in some if o != c)) for some in choices if some and "" not in some}
+    return sorted(map(set, sorted(least, key=sorted)), key=lambda c: (min(map(len, c)), -len(c)), reverse=True)
+
+
+def _best(choices: list[set[str]]) -> set[str]:
+    return next(iter(_ranked(choices)), set())
+
+
 def cues(items) -> set[str]:
     """Literals of which every match holds at least one; empty when there are none."""
-    choices, literal = [], ""
-    for op, arg in [*items, (None, None)]:
-        if op is kind.LITERAL:
-            literal += chr(arg)
-            continue
-        if literal:
-            choices.append({literal})
-            literal = ""
-        if op is kind.SUBPATTERN:
-            choices.append(cues(arg[-1]))
-        elif op is kind.MAX_REPEAT and arg[0] > 0:
-            choices.append(cues(arg[2]))
-        elif op is kind.BRANCH:
-            parts = [cues(branch) for branch in arg[1]]
-            choices.append(set().union(*parts) if all(parts) else set())
-    return max(filter(None, choices), key=lambda c: (min(map(len, c)), -len(c)), default=set())
+    choices, runs = _walk(items, {""})
+    return _best([*choices, runs])
 
 
 def fold(text: Column) -> Column:
@@ -116,10 +146,10 @@ def fold(text: Column) -> Column:
 
 def may_match(folded: Column, pattern: str) -> Column:
     """A cheap test that no match of ``pattern`` fails: plain substring search for its cues."""
-    found = [folded.contains(cue) for cue in sorted(cues(regex_parser.parse(pattern.lower())))]
-    result = F.lit(not found)
-    for test in found:
-        result = result | test
+    choices, runs = _walk(regex_parser.parse(pattern.lower()), {""})
+    result = F.lit(True)
+    for choice in _ranked([*choices, runs])[:2]:
+        result = result & reduce(or_, [folded.contains(cue) for cue in sorted(choice)])
     return result
 
 

@@ -75,3 +75,18 @@ def test_cues_never_exclude_a_match():
             for text in TEXTS:
                 for match in re.finditer(pattern.lower(), text.lower()):
                     assert not cues or any(c in match.group(0) for c in cues)
+
+
+def test_cues_reach_over_optional_marks_and_shared_beginnings(spark):
+    def cues(pattern):
+        return rx.cues(rx.regex_parser.parse(pattern.lower()))
+    assert cues(r"\b(CPA|Certified\s+Public\s+Accountant)\b") == {"cpa", "accountant"}
+    assert cues(r"\b(B\.S\.?|B\.?S\.)\s*(?:in\s+[\w\s]+)?") == {"b.s", "bs."}
+    assert cues(r"\b(M\.?D\.?|J\.?D\.?)\b") == {"md", "m.d", "jd", "j.d"}
+    assert cues(r"\w+[-–]?\d{4}") == set()
+    texts = ["ends with words.", "a B.S. in it", "BS. or MD", "J.D and CPA", "Head of it", "made of it", "2019 - 2020", "2019"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", *(
+        rx.may_match(rx.fold(F.col("text")), p).alias(str(k)) for k, p in enumerate(
+            [pt.DEGREES[4], pt.DEGREES[2], pt.CERTIFICATIONS[18], pt.JOB_TITLES[8], pt.DURATIONS[2]]))).collect()
+    assert [[t for t in texts if {r["text"]: r[str(k)] for r in rows}[t]] for k in range(5)] == [
+        ["a B.S. in it", "BS. or MD"], ["BS. or MD", "J.D and CPA"], ["J.D and CPA"], ["Head of it"], ["2019 - 2020"]]
