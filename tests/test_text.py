@@ -1,6 +1,7 @@
 """Text functions against Python's re on awkward strings."""
 
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -90,3 +91,29 @@ def test_cues_reach_over_optional_marks_and_shared_beginnings(spark):
             [pt.DEGREES[4], pt.DEGREES[2], pt.CERTIFICATIONS[18], pt.JOB_TITLES[8], pt.DURATIONS[2]]))).collect()
     assert [[t for t in texts if {r["text"]: r[str(k)] for r in rows}[t]] for k in range(5)] == [
         ["a B.S. in it", "BS. or MD"], ["BS. or MD", "J.D and CPA"], ["J.D and CPA"], ["Head of it"], ["2019 - 2020"]]
+
+
+def test_space_class_holds_what_it_lists(spark):
+    points = [c for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    spaces = [0x85, 0xA0, 0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, *range(9, 14), *range(0x1C, 0x21), *range(0x2000, 0x200B)]
+    df = spark.createDataFrame([(c, chr(c)) for c in points], "point int, text string")
+    for flags in ("", "i", "is"):
+        inside = [r.point for r in df.filter(rx.matches(F.col("text"), r"\A\s\z", flags)).collect()]
+        outside = [r.point for r in df.filter(~rx.matches(F.col("text"), r"\A[^\s-]\z", flags)).collect()]
+        assert sorted(inside) == sorted(spaces) and sorted(outside) == sorted([*spaces, ord("-")])
+
+
+def test_words_are_counted_as_fast_as_white_space(spark):
+    """A run of other characters must not cost a test for every kind of white space at each of them."""
+    df = spark.range(8).select(F.repeat(F.lit("some words of a text, "), 50000).alias("text")).repartition(8).cache()
+
+    def seconds(column):
+        times = []
+        for _ in range(3):
+            began = time.perf_counter()
+            df.agg(F.sum(column)).collect()
+            times.append(time.perf_counter() - began)
+        return min(times)
+
+    assert df.count() == 8
+    assert seconds(tx.word_count(F.col("text"))) < 3 * seconds(F.char_length(F.regexp_replace("text", " +", "  ")))
