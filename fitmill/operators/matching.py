@@ -76,7 +76,9 @@ def score_pairs(overlaps: DataFrame, tfidf: DataFrame, embeddings: DataFrame | N
     """``doc_id, job_id, f1, tfidf, embedding, score, fit_level`` of every pair with any evidence.
 
     The inputs hold one row per pair each, so they are stacked and grouped once instead of
-    outer-joined.
+    outer-joined. They are dealt out by document alone: a pair has two or three rows, which
+    grouping ahead would not lessen, and what ranks or lists a document's jobs needs no further
+    exchange.
     """
     def side(df, name):
         columns = [F.col(name) if c == name else F.lit(None).cast("double").alias(c)
@@ -86,7 +88,7 @@ def score_pairs(overlaps: DataFrame, tfidf: DataFrame, embeddings: DataFrame | N
     rows = [side(overlaps, "f1"), side(tfidf, "tfidf")]
     if embeddings is not None:
         rows.append(side(embeddings, "embedding"))
-    merged = stack(*rows).groupBy("doc_id", "job_id").agg(
+    merged = stack(*rows).repartition("doc_id").groupBy("doc_id", "job_id").agg(
         F.coalesce(F.max("f1"), F.lit(0.0)).alias("f1"),
         F.coalesce(F.max("tfidf"), F.lit(0.0)).alias("tfidf"),
         F.max("embedding").alias("embedding"))
@@ -122,14 +124,26 @@ def top_jobs(scores: DataFrame, k: int = 10, by: str = "score") -> DataFrame:
 def full_grid(scores: DataFrame, docs: DataFrame, job_ids: list, value: str = "score") -> DataFrame:
     """``doc_id, job_id, value`` of every document with every listed job, 0 where there is no evidence.
 
-    The output has a row for each, so the list is bounded; ``top_jobs`` is for many jobs.
+    The output has a row for each, so the list is bounded; ``top_jobs`` is for many jobs. A document
+    meets its evidence as one list, and the rows are made after that: none of them is shuffled.
     """
     if len(job_ids) > MOST_JOBS:
         raise ValueError(f"a grid has {MOST_JOBS} jobs at most; take top_jobs for more")
+    entry = "array<struct<job_id:bigint,value:double>>"
     listed = F.array(*[F.lit(j) for j in job_ids]).cast("array<bigint>")
-    grid = docs.select("doc_id", F.explode(listed).alias("job_id"), F.lit(0.0).alias(value))
-    known = scores.filter(F.col("job_id").isin(job_ids)).select("doc_id", "job_id", value)
-    return stack(grid, known).groupBy("doc_id", "job_id").agg(F.max(value).alias(value))
+    known = (
+        scores.filter(F.col("job_id").isin(job_ids) & F.col(value).isNotNull())
+        .groupBy("doc_id").agg(F.collect_list(F.struct("job_id", F.col(value).alias("value"))).cast(entry).alias("_known"))
+    )
+    grid = docs.select("doc_id").distinct().join(known, "doc_id", "left").select(
+        "doc_id", F.coalesce("_known", F.array().cast(entry)).alias("_known"))
+    rest = F.transform(F.array_except(listed, F.col("_known.job_id")),
+                       lambda j: F.struct(j.alias("job_id"), F.lit(0.0).alias("value")))
+    return (
+        grid.select("doc_id", F.concat("_known", rest).alias("_row"))
+        .select("doc_id", F.explode_outer("_row").alias("_row")).filter("_row IS NOT NULL")
+        .select("doc_id", "_row.job_id", F.col("_row.value").alias(value))
+    )
 
 
 def pivot(grid: DataFrame, job_ids: list, value: str = "score") -> DataFrame:

@@ -153,6 +153,14 @@ def test_scores_best_and_grid(spark, sets):
     assert wide[3] == {"doc_id": 3, "10": 0.0, "11": 0.0, "12": 0.0}
 
 
+def test_grid_keeps_scores_below_zero(spark):
+    scores = spark.createDataFrame([(1, 10, -4.0), (1, 12, 3.0), (1, 13, 9.0)], "doc_id long, job_id long, score double")
+    docs = spark.createDataFrame([(1,), (2,)], "doc_id long")
+    grid = sorted(tuple(r) for r in mt.full_grid(scores, docs, [10, 11, 12]).collect())
+    assert grid == [(1, 10, -4.0), (1, 11, 0.0), (1, 12, 3.0), (2, 10, 0.0), (2, 11, 0.0), (2, 12, 0.0)]
+    assert mt.full_grid(scores, docs, []).collect() == []
+
+
 def test_best_job_takes_lowest_id_on_ties(spark):
     df = spark.createDataFrame([(1, 7, 5.0), (1, 3, 5.0), (1, 1, 4.0)], "doc_id long, job_id long, score double")
     assert mt.best_job(df).first().job_id == 3

@@ -48,6 +48,12 @@ def test_grams_of_pairs_are_no_rows(spark, name):
     assert not re.search(r"Aggregate \[doc_id#\d+L?, (section#\d+, )?gram#", plan)
 
 
+def test_matrix_shuffles_neither_grams_nor_its_rows(spark):
+    plan = entry.queries()["match_matrix"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(doc_id#\d+L, job_id", plan)
+    assert not re.search(r"HashAggregate\(keys=\[doc_id#\d+L, gram#", plan)
+
+
 @pytest.mark.parametrize("name", ["title_strings", "education_strings", "job_title", "entity_count_stats", "doc_profile"])
 def test_text_is_folded_once_for_all_patterns(spark, name):
     # inlined, the fold ran again for every cue of every pattern
